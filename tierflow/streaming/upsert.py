@@ -49,7 +49,9 @@ def _parts(spark: SparkSession, root: str) -> tuple[list[DataFrame], int]:
     reached = bases[-1] if bases else -1
     later = [i for i in storage.complete_numbers(spark, f"{root}/log", "batch_id") if i > reached]
     parts = [spark.read.parquet(f"{root}/base/through={reached}")] if bases else []
-    parts += [spark.read.parquet(f"{root}/log/batch_id={i}") for i in later]
+    if later:
+        log = [f"{root}/log/batch_id={i}" for i in later]
+        parts.append(spark.read.option("basePath", f"{root}/log").parquet(*log).drop("batch_id"))
     return parts, (later[-1] if later else reached)
 
 
