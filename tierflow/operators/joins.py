@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.scalar import as_col
 from tierflow.operators.keys import dense_index
+from tierflow.operators.literals import literal_table
 
 
 def dim_left_join(
@@ -51,8 +52,8 @@ def left_join_fill(
 def code_table(
     spark: SparkSession, rows: Mapping[str, Sequence[object]], schema: str
 ) -> DataFrame:
-    """A literal code list as a table; its size is what the caller typed in."""
-    return spark.createDataFrame([(code, *values) for code, values in rows.items()], schema)
+    """A code list as a table: code first, then its values."""
+    return literal_table(spark, [(code, *values) for code, values in rows.items()], schema)
 
 
 def lookup(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.functions.scalar import as_col
+from tierflow.operators.literals import literal_table
 
 
 def _holds(predicate: str | Column) -> Column:
@@ -126,9 +127,9 @@ def one_to_one(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
     return per_key.agg(
         F.coalesce(F.sum("p"), F.lit(0)).alias("n_parent"),
         F.coalesce(F.sum("c"), F.lit(0)).alias("n_child"),
-        F.count_if("c = 0").alias("n_missing"),
-        F.count_if("p = 0").alias("n_orphan"),
-        F.count_if("p > 1 OR c > 1").alias("n_repeated"),
+        F.count_if(F.col("c") == 0).alias("n_missing"),
+        F.count_if(F.col("p") == 0).alias("n_orphan"),
+        F.count_if((F.col("p") > 1) | (F.col("c") > 1)).alias("n_repeated"),
     ).withColumn("ok", F.expr("n_missing = 0 AND n_orphan = 0 AND n_repeated = 0"))
 
 
@@ -138,7 +139,9 @@ def value_domain(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFram
     The table is counted per value first; the allowed list joins those counts.
     """
     counted = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
-    domain = df.sparkSession.createDataFrame([(v, True) for v in allowed], "v string, allowed boolean")
+    domain = literal_table(
+        df.sparkSession, [(v, True) for v in allowed], "v string, allowed boolean"
+    )
     both = counted.join(domain, F.col("value") == F.col("v"), "full")
     return both.select(
         F.coalesce("value", "v").alias("value"),
@@ -156,9 +159,7 @@ def category_limits(
         F.min(value).alias("min_value"), F.max(value).alias("max_value")
     )
     rows = [(c, float(lo), float(hi)) for c, (lo, hi) in limits.items()]
-    bound = df.sparkSession.createDataFrame(
-        rows, "category string, low double, high double"
-    )
+    bound = literal_table(df.sparkSession, rows, "category string, low double, high double")
     within = (F.col("min_value") >= F.col("low")) & (F.col("max_value") <= F.col("high"))
     return seen.join(bound, "category", "left").withColumn("ok", F.coalesce(within, F.lit(False)))
 
@@ -167,8 +168,8 @@ def distribution_check(
     shares: DataFrame, targets: Mapping[str, float], tolerance: float
 ) -> DataFrame:
     """Band shares against their target percentages, within a tolerance in points."""
-    wanted = shares.sparkSession.createDataFrame(
-        [(b, float(p)) for b, p in targets.items()], "band string, target_pct double"
+    wanted = literal_table(
+        shares.sparkSession, list(targets.items()), "band string, target_pct double"
     )
     near = F.abs(F.col("share_pct") - F.col("target_pct")) <= F.lit(tolerance)
     return shares.join(wanted, "band", "full").withColumn("ok", F.coalesce(near, F.lit(False)))
@@ -301,7 +302,7 @@ def config_completeness(
     config: DataFrame, required: Sequence[str], key: str = "Clave", value: str = "Valor"
 ) -> DataFrame:
     """Required configuration keys with the number of non-blank values found."""
-    wanted = config.sparkSession.createDataFrame([(k,) for k in required], "required string")
+    wanted = literal_table(config.sparkSession, [(k,) for k in required], "required string")
     present = config.groupBy(F.col(key).alias("required")).agg(
         F.count_if(F.length(F.trim(as_col(value))) > 0).alias("n_values")
     )

@@ -275,12 +275,9 @@ CLUSTERING = {
 
 def source_schema(contract: str) -> T.StructType:
     """Schema of the source table, in contract order."""
-    schema = T.StructType()
-    for line in contract.split("\n"):
-        if line:
-            name, kind, _ = line.split()
-            schema.add(name, kind.rstrip("!"), nullable=not kind.endswith("!"))
-    return schema
+    columns = [line.split() for line in contract.split("\n") if line]
+    ddl = [f"{name} {kind.replace('!', ' NOT NULL')}" for name, kind, _ in columns]
+    return T.StructType.fromDDL(", ".join(ddl))
 
 
 def renames(contract: str, ingested_as: str) -> dict[str, str]:

@@ -19,6 +19,7 @@ promedio_monto_depositos_atm avg CATM
 promedio_monto_retiros_atm avg DATM
 total_pagos_saldo_cliente sum PGSL
 """
+METRIC_NAMES = [line.split()[0] for line in ATM_METRICS.strip().splitlines()]
 
 # Dimension columns of the summary.
 SUMMARY_COLUMNS = """

@@ -58,8 +58,10 @@ def _newest(
     bronze: DataFrame, contract: str, updated: str, source: str, keep_key: str | None = None
 ) -> DataFrame:
     rows = select_except(bronze)
-    rows = rows.withColumn("_row_hash", F.xxhash64(*rows.columns))
-    newest = latest_by_key(rows, ["CUSTID"], ["FechaIngestaDatos"], [updated, "_row_hash"])
+    # The hash stays inside the sort order: as a column over 70 and more others it would
+    # multiply the optimizer's alias constraints once those are renamed.
+    tie = [updated, F.xxhash64(*rows.columns)]
+    newest = latest_by_key(rows, ["CUSTID"], ["FechaIngestaDatos"], tie)
     names = contracts.renames(contract, contracts.INGESTED_AS[source])
     return rename_select(newest, {"CUSTID": keep_key, **names} if keep_key else names)
 

@@ -84,7 +84,7 @@ def write_verified(df: DataFrame, path: str) -> DataFrame:
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
     written = spark.read.parquet(path)
     return written.agg(F.count(F.lit(1)).alias("n_read")).select(
-        F.lit(seen.get["n"]).alias("n_written"),
+        F.lit(seen.get["n"]).cast("bigint").alias("n_written"),
         "n_read",
         F.lit(len(df.columns)).alias("columns_written"),
         F.lit(len(written.columns)).alias("columns_read"),
