@@ -4,24 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.functions.scalar import as_col
-
 
 def latest_by_key(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str | Column],
-    tie: Sequence[str | Column],
+    order: Sequence[str],
+    tie: Sequence[str],
 ) -> DataFrame:
     """One row per key: the highest `order`, ties decided by the highest `tie`.
 
     The row_number() = 1 filter becomes a per-partition limit ahead of the shuffle,
     so a key holding a large share of the rows sends one row per input partition.
     """
-    newest = Window.partitionBy(*keys).orderBy(*[as_col(c).desc() for c in [*order, *tie]])
+    newest = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in [*order, *tie]])
     return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 

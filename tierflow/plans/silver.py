@@ -44,7 +44,9 @@ def customer_dimension(
 
     Both sides are renamed first, so the join has no name collisions. Rows of one
     ingest share their timestamp: the record's own update date decides between them,
-    then a hash of the row, so that the choice does not depend on the file order.
+    then the other columns, so that the choice does not depend on the file order. (They
+    are plain sort columns: a hash over all of them would multiply the optimizer's
+    alias constraints when they are renamed.)
     """
     people = _newest(master, contracts.MASTER, "LSTUPD", "master")
     accounts = _newest(balances, contracts.BALANCES, "UPDDT", "balances", keep_key="_account_key")
@@ -58,9 +60,8 @@ def _newest(
     bronze: DataFrame, contract: str, updated: str, source: str, keep_key: str | None = None
 ) -> DataFrame:
     rows = select_except(bronze)
-    # The hash stays inside the sort order: as a column over 70 and more others it would
-    # multiply the optimizer's alias constraints once those are renamed.
-    tie = [updated, F.xxhash64(*rows.columns)]
+    rest = [c for c in rows.columns if c not in ("CUSTID", "FechaIngestaDatos", updated)]
+    tie = [updated, *rest]
     newest = latest_by_key(rows, ["CUSTID"], ["FechaIngestaDatos"], tie)
     names = contracts.renames(contract, contracts.INGESTED_AS[source])
     return rename_select(newest, {"CUSTID": keep_key, **names} if keep_key else names)
