@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Bookkeeping columns of the ingest layer that later layers discard.
@@ -19,7 +18,7 @@ def select_except(df: DataFrame, names: Sequence[str] = BOOKKEEPING) -> DataFram
 
 def rename_select(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Exactly the mapped columns, renamed, in mapping order."""
-    return df.select([F.col(f"`{old}`").alias(new) for old, new in mapping.items()])
+    return df.selectExpr(*[f"`{old}` AS `{new}`" for old, new in mapping.items()])
 
 
 def lead_with(df: DataFrame, first: Sequence[str]) -> DataFrame:
@@ -28,7 +27,7 @@ def lead_with(df: DataFrame, first: Sequence[str]) -> DataFrame:
     if missing:
         raise ValueError(f"columns not in the table: {', '.join(missing)}")
     rest = [name for name in df.columns if name not in set(first)]
-    return df.select([F.col(f"`{name}`") for name in [*first, *rest]])
+    return df.selectExpr(*[f"`{name}`" for name in [*first, *rest]])
 
 
 def suffix_columns(df: DataFrame, suffix: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -38,10 +37,13 @@ def suffix_columns(df: DataFrame, suffix: str, keep: Sequence[str] = ()) -> Data
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns in its order and types; absent ones become typed nulls."""
-    present = set(df.columns)
-    return df.select(
-        [
-            (F.col(f"`{f.name}`") if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    present = dict(df.dtypes)
+    made = []
+    for field in schema.fields:
+        kind = field.dataType.simpleString()
+        if present.get(field.name) == kind:
+            made.append(f"`{field.name}`")
+        else:
+            value = f"`{field.name}`" if field.name in present else "NULL"
+            made.append(f"CAST({value} AS {kind}) AS `{field.name}`")
+    return df.selectExpr(*made)

@@ -46,14 +46,14 @@ def first_master(t: Tables) -> DataFrame:
     return master_feed(facts(t), AS_OF)
 
 
-def second_master(t: Tables) -> DataFrame:
+def following_master(first: DataFrame) -> DataFrame:
     key = F.col("CUSTID")
-    return next_master(first_master(t), AS_OF, digest=key * 7919, bucket=key)
+    return next_master(first, AS_OF, digest=key * 7919, bucket=key)
 
 
-def corrected_master(t: Tables) -> DataFrame:
+def corrections(first: DataFrame) -> DataFrame:
     """The second load: only the rows that carry the run date."""
-    return second_master(t).filter(F.col("LSTUPD") == F.lit(AS_OF))
+    return following_master(first).filter(F.col("LSTUPD") == F.lit(AS_OF))
 
 
 def balances(t: Tables) -> DataFrame:
@@ -65,8 +65,9 @@ def transactions(t: Tables) -> DataFrame:
 
 
 def bronze_master(t: Tables) -> DataFrame:
-    first = with_ingest_time(first_master(t), FIRST)
-    return first.unionByName(with_ingest_time(corrected_master(t), SECOND))
+    first = first_master(t)
+    loads = with_ingest_time(first, FIRST), with_ingest_time(corrections(first), SECOND)
+    return loads[0].unionByName(loads[1])
 
 
 def silver_customers(t: Tables) -> DataFrame:
@@ -394,7 +395,7 @@ def bank_master_source(t: Tables):
 
 @query(f"with {SECOND_MASTER_SQL} select * from m2")
 def bank_master_next_snapshot(t: Tables):
-    return second_master(t)
+    return following_master(first_master(t))
 
 
 @query(f"with {FACTS_SQL}, {BALANCES_SQL} select * from b1")
@@ -433,11 +434,13 @@ def bank_product_end_to_end(t: Tables):
     """Land two loads, ingest each, refresh silver and gold, and read the summary."""
     root = scratch(t.spark, "bank")
     landing = {name: f"{root}/landing/{name}" for name in ("cmstfl", "trxpfl", "blncfl")}
-    first_master(t).write.parquet(f"{landing['cmstfl']}/2001/08/01")
+    master = first_master(t)
+    master.write.parquet(f"{landing['cmstfl']}/2001/08/01")
     balances(t).write.parquet(f"{landing['blncfl']}/2001/08/01")
     transactions(t).write.parquet(f"{landing['trxpfl']}/2001/08/01")
     ingest_bronze(t.spark, landing, root, FIRST)
-    corrected_master(t).write.parquet(f"{landing['cmstfl']}/2001/08/02")
+    landed = t.spark.read.parquet(f"{landing['cmstfl']}/2001/08/01")
+    corrections(landed).write.parquet(f"{landing['cmstfl']}/2001/08/02")
     ingest_bronze(t.spark, landing, root, SECOND)
     return refresh_all(t.spark, root, AS_OF, money_scale=2)["resumen_integral_cliente"]
 
@@ -495,7 +498,8 @@ def bank_formula_recheck(t: Tables):
       min(case when a is null then b end) = max(a) + 1 as keys_continue from j"""
 )
 def bank_snapshot_drift(t: Tables):
-    return snapshot_drift(first_master(t), second_master(t), "CUSTID", rules.MUTABLE)
+    first = first_master(t)
+    return snapshot_drift(first, following_master(first), "CUSTID", rules.MUTABLE)
 
 
 @query(
