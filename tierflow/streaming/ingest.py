@@ -16,6 +16,7 @@ import functools
 import json
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +40,8 @@ def file_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[st
     """
     try:
         return [(list(paths), merged_schema(spark, *paths))]
-    except PySparkException as problem:
-        conflict = "CANNOT_MERGE" in str(problem)
-        if not conflict or len(paths) == 1:
+    except (PySparkException, Py4JJavaError) as problem:
+        if "CANNOT_MERGE_SCHEMAS" not in str(problem) or len(paths) == 1:
             raise
     middle = len(paths) // 2
     return file_groups(spark, paths[:middle]) + file_groups(spark, paths[middle:])
