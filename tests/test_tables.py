@@ -10,6 +10,7 @@ from tierflow.plans.gold import SUMMARY_COLUMNS, atm_behaviour, customer_summary
 from tierflow.plans.silver import customer_dimension, enriched_transactions
 from tierflow.session import scratch
 from tierflow.sources import sinks, storage
+from tierflow.sources.files import scan_table
 from tierflow.sources.jdbc import config_values, jdbc_options
 from tierflow.streaming.ingest import ingest_files, read_ingested, stored_schema
 from tierflow.streaming.upsert import current_rows, fold, upsert_stream
@@ -202,6 +203,11 @@ def test_config_values(spark):
         config_values(config, ["datalake", "absent"])
 
 
+def test_catalog_scan(spark):
+    spark.range(3).createOrReplaceTempView("three rows")
+    assert scan_table(spark, "three rows").count() == 3
+
+
 def test_jdbc_options():
     plain = jdbc_options("jdbc:x", "dbo.Parametros")
     assert plain == {"url": "jdbc:x", "dbtable": "dbo.Parametros", "fetchsize": "10000"}

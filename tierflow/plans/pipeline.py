@@ -15,7 +15,8 @@ from tierflow.plans import contracts
 from tierflow.plans.gold import atm_behaviour, customer_summary
 from tierflow.plans.silver import customer_dimension, enriched_transactions
 from tierflow.session import join_path
-from tierflow.sources.sinks import cluster_rows, current_view, refresh_view
+from tierflow.sources import storage
+from tierflow.sources.sinks import cluster_rows, current_view, files_for, refresh_view
 from tierflow.streaming.ingest import ingest_files, read_ingested
 
 BRONZE = ("cmstfl", "trxpfl", "blncfl")
@@ -44,8 +45,10 @@ def bronze_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_ingested(spark, join_path(root, "bronze", name), lead=lead)
 
 
-def _refresh(df: DataFrame, root: str, layer: str, name: str, partitions: int) -> DataFrame:
-    clustered = cluster_rows(df, contracts.CLUSTERING[name], partitions)
+def _refresh(
+    df: DataFrame, root: str, layer: str, name: str, files: int | None = None
+) -> DataFrame:
+    clustered = cluster_rows(df, contracts.CLUSTERING[name], files)
     path = join_path(root, layer, name)
     refresh_view(clustered, path)
     return current_view(df.sparkSession, path)
@@ -55,24 +58,34 @@ def refresh_all(
     spark: SparkSession,
     root: str,
     as_of: datetime.date | None = None,
-    partitions: int | None = None,
     money_scale: int | None = None,
+    file_bytes: int = 256 << 20,
 ) -> dict[str, DataFrame]:
-    """Rebuild silver and gold from bronze; returns the four refreshed tables."""
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Rebuild silver and gold from bronze; returns the four refreshed tables.
+
+    The number of files of a silver table follows from the size of its inputs, so files
+    stay near `file_bytes` as the data grow; the narrow gold tables are sized by
+    adaptive execution.
+    """
     bronze = {name: bronze_table(spark, root, name) for name in BRONZE}
+    size = {name: _bytes(spark, join_path(root, "bronze", name)) for name in BRONZE}
+    dimension_files = files_for(size["cmstfl"] + size["blncfl"], file_bytes)
+    fact_files = files_for(size["trxpfl"], file_bytes)
     customers = _refresh(
         customer_dimension(bronze["cmstfl"], bronze["blncfl"], as_of),
-        root, "silver", "clientes_saldos_consolidados", n,
+        root, "silver", "clientes_saldos_consolidados", dimension_files,
     )
     transactions = _refresh(
-        enriched_transactions(bronze["trxpfl"]), root, "silver", "transacciones_enriquecidas", n
+        enriched_transactions(bronze["trxpfl"]),
+        root, "silver", "transacciones_enriquecidas", fact_files,
     )
     behaviour = _refresh(
-        atm_behaviour(transactions, money_scale), root, "gold", "comportamiento_atm_cliente", n
+        atm_behaviour(transactions, money_scale),
+        root, "gold", "comportamiento_atm_cliente",
     )
     summary = _refresh(
-        customer_summary(customers, behaviour), root, "gold", "resumen_integral_cliente", n
+        customer_summary(customers, behaviour),
+        root, "gold", "resumen_integral_cliente",
     )
     return {
         "clientes_saldos_consolidados": customers,
@@ -82,5 +95,9 @@ def refresh_all(
     }
 
 
+def _bytes(spark: SparkSession, path: str) -> int:
+    return storage.total_bytes(spark, path) if storage.exists(spark, path) else 0
+
+
 def with_ingest_time(df: DataFrame, at: datetime.datetime) -> DataFrame:
     return df.withColumn("FechaIngestaDatos", F.lit(at))

@@ -26,26 +26,36 @@ def refresh_view(df: DataFrame, root: str) -> str:
 
 def current_view(spark: SparkSession, root: str) -> DataFrame:
     """The newest completed version."""
-    done = storage.complete_numbers(spark, root, "version")
-    if not done:
+    done = storage.newest_complete(spark, root, "version")
+    if done is None:
         raise ValueError(f"no completed version under {root}")
-    return spark.read.parquet(f"{root}/version={done[-1]}")
+    return spark.read.parquet(f"{root}/version={done}")
 
 
-def cluster_rows(df: DataFrame, columns: Sequence[str], partitions: int) -> DataFrame:
+def files_for(total_bytes: int, target_bytes: int = 256 << 20) -> int:
+    return max(1, math.ceil(total_bytes / target_bytes))
+
+
+def cluster_rows(
+    df: DataFrame, columns: Sequence[str], partitions: int | None = None
+) -> DataFrame:
     """Range-partition and sort on the clustering columns, so file and row-group
     min/max ranges barely overlap and filters on them skip data.
 
     A hash of the row and then the input partition id extend the range key: a value
     that fills a large share of the table, even as copies of one row, is cut over
     neighbouring files instead of filling one. Both are the same when a task is rerun.
+    Without `partitions` adaptive execution merges the ranges up to its advisory size.
     """
     ordered = lead_with(df, columns)
     salts = [F.xxhash64(*df.columns), F.spark_partition_id()]
-    return ordered.repartitionByRange(partitions, *columns, *salts).sortWithinPartitions(*columns)
+    count = [] if partitions is None else [partitions]
+    return ordered.repartitionByRange(*count, *columns, *salts).sortWithinPartitions(*columns)
 
 
-def write_clustered(df: DataFrame, path: str, columns: Sequence[str], partitions: int) -> None:
+def write_clustered(
+    df: DataFrame, path: str, columns: Sequence[str], partitions: int | None = None
+) -> None:
     if not 1 <= len(columns) <= 4:
         raise ValueError("cluster on one to four columns")
     cluster_rows(df, columns, partitions).write.mode("overwrite").parquet(path)
@@ -74,7 +84,7 @@ def compact(spark: SparkSession, source: str, target: str, target_bytes: int = 2
     own.conf.set("spark.sql.files.openCostInBytes", "0")
     own.conf.set("spark.sql.files.minPartitionNum", "1")
     own.read.parquet(source).write.mode("errorifexists").parquet(target)
-    return max(1, math.ceil(total / target_bytes))
+    return files_for(total, target_bytes)
 
 
 def write_verified(df: DataFrame, path: str) -> DataFrame:

@@ -35,7 +35,17 @@ def numbered(spark: SparkSession, root: str, label: str) -> list[int]:
     return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
-def complete_numbers(spark: SparkSession, root: str, label: str) -> list[int]:
-    return [
-        n for n in numbered(spark, root, label) if is_complete(spark, f"{root}/{label}={n}")
-    ]
+def newest_complete(
+    spark: SparkSession, root: str, label: str, before: int | None = None
+) -> int | None:
+    """Highest committed N (below `before`), or None."""
+    for n in reversed(numbered(spark, root, label)):
+        if (before is None or n < before) and is_complete(spark, f"{root}/{label}={n}"):
+            return n
+    return None
+
+
+def complete_after(spark: SparkSession, root: str, label: str, reached: int) -> list[int]:
+    """Committed N above `reached`, in order."""
+    later = [n for n in numbered(spark, root, label) if n > reached]
+    return [n for n in later if is_complete(spark, f"{root}/{label}={n}")]

@@ -108,11 +108,10 @@ def stored_schema(
 ) -> T.StructType | None:
     """Newest tracked schema of a flow, or of the batches before the given one."""
     root = _schema_root(table, flow)
-    ids = storage.complete_numbers(spark, root, "batch_id")
-    ids = [i for i in ids if before is None or i < before]
-    if not ids:
+    newest = storage.newest_complete(spark, root, "batch_id", before)
+    if newest is None:
         return None
-    text = spark.read.text(f"{root}/batch_id={ids[-1]}", wholetext=True).first().value
+    text = spark.read.text(f"{root}/batch_id={newest}", wholetext=True).first().value
     return T.StructType.fromJson(json.loads(text))
 
 

@@ -45,10 +45,10 @@ def upsert_stream(
 
 
 def _parts(spark: SparkSession, root: str) -> tuple[list[DataFrame], int]:
-    bases = storage.complete_numbers(spark, f"{root}/base", "through")
-    reached = bases[-1] if bases else -1
-    later = [i for i in storage.complete_numbers(spark, f"{root}/log", "batch_id") if i > reached]
-    parts = [spark.read.parquet(f"{root}/base/through={reached}")] if bases else []
+    base = storage.newest_complete(spark, f"{root}/base", "through")
+    reached = -1 if base is None else base
+    later = storage.complete_after(spark, f"{root}/log", "batch_id", reached)
+    parts = [] if base is None else [spark.read.parquet(f"{root}/base/through={base}")]
     if later:
         log = [f"{root}/log/batch_id={i}" for i in later]
         parts.append(spark.read.option("basePath", f"{root}/log").parquet(*log).drop("batch_id"))

@@ -196,9 +196,10 @@ LATEST_RECENT_SQL = LATEST_ORDER_SQL.format(where=f"where o_orderdate >= timesta
 @query(
     f"""with {LATEST_RECENT_SQL}
     select c.*, l.* exclude (o_custkey) from customer c left join latest l
-    on c.c_custkey = l.o_custkey"""
+    on c.c_custkey = l.o_custkey""",
+    name="dim_left_join",
 )
-def dimension_left_join(t: Tables):
+def customers_with_latest_order(t: Tables):
     return dim_left_join(t.customer, latest_order(t, RECENT), "c_custkey", "o_custkey")
 
 
@@ -242,7 +243,8 @@ def only_type_a(t: Tables):
         ('5-LOW', 'Pago', 'ACH', 100, 25000))
     select o_orderkey, o.o_orderpriority, label, coalesce(channel, 'WEB') as channel,
       cast(low as bigint) as low, cast(high as bigint) as high
-    from orders o left join codes c on o.o_orderpriority = c.o_orderpriority"""
+    from orders o left join codes c on o.o_orderpriority = c.o_orderpriority""",
+    name="lookup_broadcast",
 )
 def lookup_codes(t: Tables):
     codes = code_table(
@@ -301,7 +303,7 @@ def event_history(t: Tables):
 # ------------------------------------------------------------------ projections
 
 
-@query("select * exclude (props) from events")
+@query("select * exclude (props) from events", name="select_except")
 def select_except_columns(t: Tables):
     return select_except(t.events, ["props", "no_such_column"])
 
