@@ -204,8 +204,8 @@ def test_config_values(spark):
 
 
 def test_catalog_scan(spark):
-    spark.range(3).createOrReplaceTempView("three rows")
-    assert scan_table(spark, "three rows").count() == 3
+    spark.range(3).createOrReplaceTempView("three_rows")
+    assert scan_table(spark, "three_rows").count() == 3
 
 
 def test_jdbc_options():

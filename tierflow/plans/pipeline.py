@@ -17,7 +17,7 @@ from tierflow.plans.silver import customer_dimension, enriched_transactions
 from tierflow.session import join_path
 from tierflow.sources import storage
 from tierflow.sources.sinks import cluster_rows, current_view, files_for, refresh_view
-from tierflow.streaming.ingest import ingest_files, read_ingested
+from tierflow.streaming.ingest import read_ingested, start_ingest
 
 BRONZE = ("cmstfl", "trxpfl", "blncfl")
 
@@ -28,9 +28,9 @@ def ingest_bronze(
     root: str,
     ingested_at: datetime.datetime | None = None,
 ) -> None:
-    """Append the files that arrived in the three landing folders."""
-    for name in BRONZE:
-        ingest_files(
+    """Append the files that arrived in the three landing folders, side by side."""
+    running = [
+        start_ingest(
             spark,
             landing[name],
             join_path(root, "bronze", name),
@@ -38,6 +38,10 @@ def ingest_bronze(
             lead=contracts.CLUSTERING[name],
             ingested_at=ingested_at,
         )
+        for name in BRONZE
+    ]
+    for query in running:
+        query.awaitTermination()
 
 
 def bronze_table(spark: SparkSession, root: str, name: str) -> DataFrame:

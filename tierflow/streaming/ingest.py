@@ -21,6 +21,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.operators.projection import lead_with
 from tierflow.operators.sets import union_all_by_name
@@ -115,7 +116,7 @@ def stored_schema(
     return T.StructType.fromJson(json.loads(text))
 
 
-def ingest_files(
+def start_ingest(
     spark: SparkSession,
     source: str,
     table: str,
@@ -125,12 +126,12 @@ def ingest_files(
     evolve: bool = True,
     max_files: int = 1000,
     ingested_at: datetime.datetime | None = None,
-) -> None:
-    """Append all files that arrived since the last run, then return.
+) -> StreamingQuery:
+    """Start appending all files that arrived since the last run.
 
-    A micro-batch takes at most `max_files` files, which bounds the path list that
-    passes through the driver. With `evolve=False` unknown columns are rescued
-    instead of added.
+    The query ends by itself once they are landed. A micro-batch takes at most
+    `max_files` files, which bounds the path list that passes through the driver. With
+    `evolve=False` unknown columns are rescued instead of added.
     """
     flow_root = f"{table}/flow={flow}"
     fresh = not storage.exists(spark, f"{checkpoint}/metadata")
@@ -162,7 +163,7 @@ def ingest_files(
         rows = union_all_by_name(parts).withColumn(INGESTED, stamp)
         lead_with(rows, lead).write.mode("overwrite").parquet(target)
 
-    query = (
+    return (
         spark.readStream.format("binaryFile")
         .schema(DISCOVERY_SCHEMA)
         .option("pathGlobFilter", "*.parquet")
@@ -175,7 +176,13 @@ def ingest_files(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+
+
+def ingest_files(
+    spark: SparkSession, source: str, table: str, checkpoint: str, **options
+) -> None:
+    """`start_ingest`, then wait until everything is landed."""
+    start_ingest(spark, source, table, checkpoint, **options).awaitTermination()
 
 
 def read_ingested(
