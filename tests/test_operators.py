@@ -195,6 +195,25 @@ def test_changes_lead_from_old_to_new(spark, as_rows):
     assert table_changes(old, old, ["k"]).count() == 0
 
 
+def test_repeated_keys_fail_instead_of_multiplying(spark):
+    once = spark.createDataFrame([(1, "a")], "k int, v string")
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    for audit in (
+        table_changes(once, twice, ["k"]),
+        snapshot_drift(twice, once, "k", ["v"]),
+        quality.reconcile(once, twice, "k", ["v"]),
+    ):
+        with pytest.raises(PySparkException, match="more than once"):
+            audit.collect()
+
+
+def test_reconcile_counts_differences_and_one_sided_keys(spark):
+    left = spark.createDataFrame([(1, 1.0, "a"), (2, None, "b"), (3, 3.0, "c")], "k int, x double, s string")
+    right = spark.createDataFrame([(1, 1.005, "a"), (2, None, "z"), (4, 3.0, "c")], "k int, x double, s string")
+    made = {r.column_name: (r.n_keys, r.n_breaks) for r in quality.reconcile(left, right, "k", ["x", "s"], 0.01).collect()}
+    assert made == {"k": (2, 2), "x": (2, 0), "s": (2, 1)}
+
+
 def test_expectations(spark):
     df = spark.createDataFrame([(1,), (None,), (-1,)], "x int")
     seen = Observation()

@@ -109,6 +109,13 @@ def test_small_batches_and_second_flow(spark, landing):
     assert both.count() == 40
 
 
+def test_glob_characters_in_landed_names(spark, landing):
+    spark.range(2).write.parquet(f"{landing.root}/in/load[{{1}}]")
+    spark.range(2, 5).write.parquet(f"{landing.root}/in/load1")
+    landing.ingest()
+    assert sorted(r.id for r in landing.read().collect()) == [0, 1, 2, 3, 4]
+
+
 def test_replayed_batch_changes_nothing(spark, landing):
     """Losing the last commit of the checkpoint makes the stream run the batch again."""
     landing.land([(1,)], "k bigint")

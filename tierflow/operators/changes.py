@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.operators.keys import one_row_per_key
+
 KINDS = ("insert", "update_preimage", "update_postimage", "delete")
 
 
@@ -15,19 +17,15 @@ def table_changes(
 ) -> DataFrame:
     """Inserts, deletes and both images of every update; unchanged rows are left out.
 
-    Keys are unique in each version. The key struct makes null keys match, the row
-    structs are compared value by value (nulls equal), and equal rows are filtered
-    out right after the join, before anything is expanded.
+    Keys are unique in each version; a repeated one fails. The row structs are compared
+    value by value (nulls equal), and equal rows are filtered out right after the join,
+    before anything is expanded.
     """
     names = old.columns
-
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(
-            F.struct(*keys).alias(f"{tag}_key"), F.struct(*names).alias(tag)
-        )
-
-    pair = side(old, "_old").join(side(new, "_new"), F.col("_old_key") == F.col("_new_key"), "full")
-    gone, born = F.col("_new").isNull(), F.col("_old").isNull()
+    before = one_row_per_key(old, keys, names, "_old_key", "_old")
+    after = one_row_per_key(new, keys, names, "_new_key", "_new")
+    pair = before.join(after, F.col("_old_key") == F.col("_new_key"), "full")
+    gone, born = F.col("_new_key").isNull(), F.col("_old_key").isNull()
     moved = pair.filter(gone | born | ~F.col("_old").eqNullSafe(F.col("_new")))
 
     def image(label: str, row: str) -> Column:

@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BUCKETS = 100_000
 
 
+def one_row_per_key(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], key: str, row: str
+) -> DataFrame:
+    """Key struct and row struct of a table whose keys are unique; a repeated key fails.
+
+    Repeats combine on the map side, so neither a hot key nor the pairs it would form
+    reach a later join, and that join reuses the shuffle of this aggregate. As a struct,
+    null keys compare equal.
+    """
+    grouped = df.groupBy(F.struct(*keys).alias(key)).agg(
+        F.any_value(F.struct(*columns)).alias(row), F.count(F.lit(1)).alias("_n")
+    )
+    stop = F.raise_error(F.lit(f"the key {', '.join(keys)} occurs more than once"))
+    return grouped.select(key, F.when(F.col("_n") == 1, F.col(row)).otherwise(stop).alias(row))
+
+
 def dense_index(
     df: DataFrame,
     key: str,

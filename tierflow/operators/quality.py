@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.functions.scalar import as_col
+from tierflow.operators.keys import one_row_per_key
 from tierflow.operators.literals import literal_table
 
 
@@ -268,18 +269,18 @@ def reconcile(
     """Per column: keys on both sides, and keys whose values differ.
 
     Numbers may differ by up to the tolerance; nulls equal nulls. Keys found on one
-    side only are counted on the line of the key column.
+    side only are counted on the line of the key column. A repeated key fails.
     """
     numeric = {
         f.name for f in left.schema.fields if isinstance(f.dataType, T.NumericType)
     }
-    a = left.select(F.col(key).alias("_lk"), *[F.col(c).alias(f"_l_{c}") for c in columns])
-    b = right.select(F.col(key).alias("_rk"), *[F.col(c).alias(f"_r_{c}") for c in columns])
+    a = one_row_per_key(left, [key], columns, "_lk", "_l")
+    b = one_row_per_key(right, [key], columns, "_rk", "_r")
     both = a.join(b, F.col("_lk") == F.col("_rk"), "full")
     on_both = F.col("_lk").isNotNull() & F.col("_rk").isNotNull()
     checks: dict[str, Column] = {key: ~on_both}
     for c in columns:
-        x, y = F.col(f"_l_{c}"), F.col(f"_r_{c}")
+        x, y = F.col(f"_l.{c}"), F.col(f"_r.{c}")
         same = x.eqNullSafe(y)
         if c in numeric:
             same = same | F.coalesce(F.abs(x - y) <= tolerance, F.lit(False))

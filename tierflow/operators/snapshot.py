@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.operators.keys import continue_key, dense_index
+from tierflow.operators.keys import continue_key, dense_index, one_row_per_key
 
 
 def evolve_snapshot(
@@ -48,19 +48,21 @@ def grow_snapshot(
 def snapshot_drift(old: DataFrame, new: DataFrame, key: str, watched: list[str]) -> DataFrame:
     """One row: kept, changed, added and removed keys, the changed share, and key continuity.
 
-    Each snapshot has one row per key. The comparison is null-safe, so a value that
-    became null counts as changed.
+    Keys are unique in each snapshot; a repeated one fails. The comparison is null-safe,
+    so a value that became null counts as changed.
     """
-    before = old.select(F.col(key).alias("_old_key"), F.struct(*watched).alias("_old"))
-    after = new.select(F.col(key).alias("_new_key"), F.struct(*watched).alias("_new"))
-    both = before.join(after, F.col("_old_key") == F.col("_new_key"), "full")
-    matched = F.col("_old_key").isNotNull() & F.col("_new_key").isNotNull()
-    added = F.col("_old_key").isNull()
+    before = one_row_per_key(old, [key], watched, "_old_id", "_old")
+    after = one_row_per_key(new, [key], watched, "_new_id", "_new")
+    both = before.join(after, F.col("_old_id") == F.col("_new_id"), "full").withColumns(
+        {"_old_key": F.col(f"_old_id.{key}"), "_new_key": F.col(f"_new_id.{key}")}
+    )
+    matched = F.col("_old_id").isNotNull() & F.col("_new_id").isNotNull()
+    added = F.col("_old_id").isNull()
     totals = both.agg(
         F.count_if(matched).alias("n_kept"),
         F.count_if(matched & ~F.col("_old").eqNullSafe(F.col("_new"))).alias("n_changed"),
         F.count_if(added).alias("n_added"),
-        F.count_if(F.col("_new_key").isNull()).alias("n_removed"),
+        F.count_if(F.col("_new_id").isNull()).alias("n_removed"),
         F.max("_old_key").alias("max_old_key"),
         F.min(F.when(added, F.col("_new_key"))).alias("min_added_key"),
     )

@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime
 import functools
 import json
+import re
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -33,6 +34,11 @@ INGESTED = "FechaIngestaDatos"
 DISCOVERY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def literal_path(path: str) -> str:
+    """The path with its glob characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def file_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], T.StructType]]:
     """Split the files into groups whose footers merge into one schema.
 
@@ -143,7 +149,7 @@ def start_ingest(
         target = f"{flow_root}/batch_id={batch_id}"
         if storage.is_complete(session, target):
             return
-        paths = sorted(row.path for row in found.select("path").collect())
+        paths = sorted(literal_path(row.path) for row in found.select("path").collect())
         if not paths:
             return
         groups = file_groups(session, paths)
