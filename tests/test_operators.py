@@ -52,13 +52,18 @@ def test_history_slices_do_not_change_the_intervals(spark, as_rows, unit):
     data = [
         (None if i % 7 == 0 else i % 3, start + datetime.timedelta(hours=5 * (i // 2)), i)
         for i in range(60)
-    ]
+    ] + [(0, None, 100), (0, None, 101), (None, None, 102)]
+
+    def place(ts, i):
+        return (ts is not None, ts or start, i)
     df = spark.createDataFrame(data, "k int, ts timestamp, id int")
     made = scd2_history(df, ["k"], "ts", ["id"], slice_unit=unit)
     expected = []
     for k, ts, i in data:
-        later = sorted((t, j) for kk, t, j in data if kk == k and (t, j) > (ts, i))
-        expected.append((k, ts, i, ts, later[0][0] if later else None))
+        later = sorted(
+            (place(t, j), t) for kk, t, j in data if kk == k and place(t, j) > place(ts, i)
+        )
+        expected.append((k, ts, i, ts, later[0][1] if later else None))
     assert as_rows(made) == sorted(expected, key=repr)
 
 
@@ -125,7 +130,7 @@ def test_dense_index_has_no_gaps_on_any_layout(spark, as_rows):
 
 def test_assigned_keys_exist_and_empty_dimension_gives_nulls(spark):
     facts = spark.range(500).withColumnRenamed("id", "f")
-    dim = spark.createDataFrame([(10,), (20,), (20,), (30,)], "k bigint")
+    dim = spark.createDataFrame([(10,), (20,), (20,), (30,), (None,)], "k bigint")
     assigned = assign_key(facts, "f", dim, "k")
     assert assigned.count() == 500
     assert {r.k for r in assigned.collect()} == {10, 20, 30}
@@ -133,6 +138,12 @@ def test_assigned_keys_exist_and_empty_dimension_gives_nulls(spark):
     assert empty.filter("k is null").count() == 500
 
 
+def test_dense_index_keeps_a_null_key(spark):
+    keys = spark.createDataFrame([(1,), (2,), (None,)], "k bigint")
+    numbered = dense_index(keys, "k", buckets=2, bucket=F.col("k"))
+    assert sorted(r.idx for r in numbered.collect()) == [0, 1, 2]
+
+
 def test_continued_keys_start_after_the_highest(spark):
     old = spark.createDataFrame([(3,), (9,)], "k bigint")
     new = spark.createDataFrame([("x",), ("y",)], "name string")

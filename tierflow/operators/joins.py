@@ -98,7 +98,7 @@ def assign_key(
 
     The distinct keys get a dense index; a fact takes index pmod(hash(id), n).
     """
-    unique = dim.select(key).distinct()
+    unique = dim.select(key).filter(F.col(key).isNotNull()).distinct()
     index = dense_index(unique, key, "_slot", buckets=buckets, bucket=dim_bucket)
     n_keys = unique.agg(F.count(F.lit(1)).alias("n")).scalar()
     chosen = F.xxhash64(as_col(fact_id)) if digest is None else digest

@@ -44,7 +44,7 @@ def dense_index(
     if not 0 < buckets <= MAX_BUCKETS:
         raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
     slot = F.pmod(F.xxhash64(key) if bucket is None else bucket, F.lit(buckets))
-    cut = df.withColumn("_bucket", slot)
+    cut = df.withColumn("_bucket", F.coalesce(slot, F.lit(0)))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy("_bucket")

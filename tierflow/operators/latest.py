@@ -47,10 +47,11 @@ def scd2_history(
     Each key's history is cut into time slices of `slice_unit` and the windows run
     per (key, slice), so that one key holding a large share of the rows is spread
     over many tasks. The last row of a slice takes the first `seq` of the key's next
-    slice, found on the small one-row-per-(key, slice) summary. The key travels as a
-    struct, which makes null keys equal and lets the join reuse the window's shuffle.
+    slice, found on the small one-row-per-(key, slice) summary. Key and slice travel as
+    structs, which makes nulls equal and lets the join reuse the window's shuffle.
     """
-    cut = df.withColumns({"_key": F.struct(*keys), "_slice": F.date_trunc(slice_unit, F.col(seq))})
+    part = F.date_trunc(slice_unit, F.col(seq)).alias("at")
+    cut = df.withColumns({"_key": F.struct(*keys), "_slice": F.struct(part)})
     within = Window.partitionBy("_key", "_slice").orderBy(seq, *tie)
     across = Window.partitionBy("_key").orderBy("_slice")
     heads = (
@@ -60,8 +61,15 @@ def scd2_history(
         .drop("_head")
     )
     return (
-        cut.withColumn("_next", F.lead(seq).over(within))
+        cut.withColumn("_next", F.lead(F.struct(seq)).over(within))
         .join(heads, ["_key", "_slice"], "left")
-        .withColumns({start: F.col(seq), end: F.coalesce("_next", "_next_head")})
+        .withColumns(
+            {
+                start: F.col(seq),
+                end: F.when(F.col("_next").isNull(), F.col("_next_head")).otherwise(
+                    F.col(f"_next.{seq}")
+                ),
+            }
+        )
         .select(*df.columns, start, end)
     )
