@@ -17,6 +17,8 @@ def build_session(app: str = "tierflow", master: str | None = None, **conf) -> S
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Wide projections make many column calls; skip the call-site lookup of each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
