@@ -1,5 +1,6 @@
 import datetime
 import json
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -156,7 +157,7 @@ def test_clustered_files_have_disjoint_ranges_and_split_hot_values(spark):
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("v"),
     )
     sinks.write_clustered(hot, path, ["k"], 8)
-    files = [p for p in sorted(__import__("pathlib").Path(path).glob("*.parquet"))]
+    files = sorted(Path(path).glob("*.parquet"))
     ranges, sizes = [], []
     for file in files:
         meta = pq.ParquetFile(file).metadata
@@ -175,7 +176,7 @@ def test_compaction_packs_small_files(spark, as_rows):
     sinks.write_files(spark.range(1000), f"{root}/many", 40)
     planned = sinks.compact(spark, f"{root}/many", f"{root}/few")
     assert planned == 1
-    assert spark.read.parquet(f"{root}/few").inputFiles().__len__() == 1
+    assert len(spark.read.parquet(f"{root}/few").inputFiles()) == 1
     assert as_rows(spark.read.parquet(f"{root}/few")) == sorted([(i,) for i in range(1000)], key=repr)
     sinks.compact(spark, f"{root}/many", f"{root}/half", target_bytes=12_000)
     assert 1 < len(spark.read.parquet(f"{root}/half").inputFiles()) < 40
