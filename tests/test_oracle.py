@@ -8,6 +8,7 @@ import pytest
 from conftest import TABLES
 
 import __spark_entry__ as entry_points
+from tierflow.workload.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 SPARK_TO_DUCK = {
@@ -41,7 +42,7 @@ def canonical(columns, data):
     return sorted((tuple(plain(r[i]) for i in order) for r in data), key=repr)
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = entry_points.queries()[name](spark, FOLDER)
     got = [tuple(r) for r in df.collect()]
