@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.exact_dedup import exact_duplicates
 from tierflow.llm.language import learn_dictionaries, predict_language
+from tierflow.llm.ngram_join import jaccard_join
 from tierflow.llm.packing import pack_documents
 from tierflow.llm.sharding import byte_shards
 from tierflow.workload.registry import Query
@@ -25,6 +26,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    found, _ = jaccard_join(_table(spark, folder, "documents"), width=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @_query
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = byte_shards(_table(spark, folder, "documents"), shards=16)
