@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm.exact_dedup import exact_duplicates
 from tierflow.llm.language import learn_dictionaries, predict_language
+from tierflow.llm.mixing import mixing_rates
 from tierflow.llm.ngram_join import jaccard_join
 from tierflow.llm.packing import pack_documents
 from tierflow.llm.sharding import byte_shards
@@ -26,6 +27,24 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Domains of the labels table, and the shares of tokens that the mixture aims at.
+MIX_WEIGHTS = {"clean": 0.92, "junk": 0.06, "toxic": 0.02}
+
+
+def label_domains(spark: SparkSession, folder: str) -> DataFrame:
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "clean")
+    labels = _table(spark, folder, "labels").filter("quality is not null and toxic is not null")
+    return labels.select(F.col("doc_id").alias("id"), domain.otherwise("junk").alias("domain"))
+
+
+@_query
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    rated = mixing_rates(docs, label_domains(spark, folder), MIX_WEIGHTS)
+    shares = [F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(MIX_WEIGHTS)]
+    return rated.select("doc_id", "tokens", *shares, "rate")
+
+
 @_query
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = jaccard_join(_table(spark, folder, "documents"), width=4, percent=85)
@@ -77,12 +96,26 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    """The fold of documents that nothing is learned from."""
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return F.coalesce(fold, F.lit(False))
+
+
 @_query
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    marked = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    learned = learn_dictionaries(docs.filter(~held_out & F.col("lang").isNotNull()))
+    marked = docs.select("doc_id", "text", held_out().alias("held_out"))
+    learned = learn_dictionaries(docs.filter(~held_out()))
     return predict_language(marked, learned).select(
         "doc_id", "held_out", "lang_pred", "score", "rejected"
     )
+
+
+def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    from corpus_pipeline import run  # imported late: the pipeline imports this module
+
+    return run(spark, folder)
+
+
+QUERIES["pipeline"] = _pipeline
