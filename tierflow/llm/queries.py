@@ -11,7 +11,9 @@ from tierflow.llm.language import learn_dictionaries, predict_language
 from tierflow.llm.mixing import mixing_rates
 from tierflow.llm.ngram_join import jaccard_join
 from tierflow.llm.packing import pack_documents
+from tierflow.llm.secrets import find_secrets
 from tierflow.llm.sharding import byte_shards
+from tierflow.llm.vector_graph import near_duplicate_vectors
 from tierflow.workload.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -45,6 +47,11 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select("doc_id", "tokens", *shares, "rate")
 
 
+@_query
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return find_secrets(_table(spark, folder, "documents"))
+
+
 @_query
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = jaccard_join(_table(spark, folder, "documents"), width=4, percent=85)
@@ -112,6 +119,12 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op10_vector_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found, _ = near_duplicate_vectors(_table(spark, folder, "embeddings"), threshold=0.9)
+    return found
+
+
 def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run  # imported late: the pipeline imports this module
 
