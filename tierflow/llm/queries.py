@@ -11,6 +11,7 @@ from tierflow.llm.language import learn_dictionaries, predict_language
 from tierflow.llm.mixing import mixing_rates
 from tierflow.llm.ngram_join import jaccard_join
 from tierflow.llm.packing import pack_documents
+from tierflow.llm.pii import with_surrogates
 from tierflow.llm.secrets import find_secrets
 from tierflow.llm.sharding import byte_shards
 from tierflow.llm.vector_graph import near_duplicate_vectors
@@ -119,6 +120,12 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return with_surrogates(docs, key="surrogates of the documents table")
+
+
 @_query
 def op10_vector_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = near_duplicate_vectors(_table(spark, folder, "embeddings"), threshold=0.9)
