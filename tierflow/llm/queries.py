@@ -11,6 +11,7 @@ from tierflow.llm.language import learn_dictionaries, predict_language
 from tierflow.llm.mixing import mixing_rates
 from tierflow.llm.ngram_join import jaccard_join
 from tierflow.llm.packing import pack_documents
+from tierflow.llm.perplexity import classify_quality
 from tierflow.llm.pii import with_surrogates
 from tierflow.llm.secrets import find_secrets
 from tierflow.llm.sharding import byte_shards
@@ -73,6 +74,18 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = _table(spark, folder, "labels").filter("quality = 1 and toxic = 0")
+    return classify_quality(
+        _table(spark, folder, "documents"),
+        trusted.select(F.col("doc_id").alias("id")),
+        ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        pattern=public_tokenizers.PATTERN,
+        quantile=0.99,
+    )
+
+
 @_query
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     decided = exact_duplicates(_table(spark, folder, "documents"))
