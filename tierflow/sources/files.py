@@ -29,13 +29,16 @@ def scan_dated(
     root: str,
     recursive: bool = False,
     discard: Sequence[str] = BOOKKEEPING,
+    name_filter: str | None = None,
 ) -> DataFrame:
-    """All parquet files under year / month / day folders, without the folder columns.
+    """All files (or those whose name fits the glob) under year / month / day folders, without the folder columns.
 
     `recursive` reads any folder naming; otherwise key=value folders are discovered as
     partition columns (so filters on them prune folders) and then discarded.
     """
     reader = spark.read
     if recursive:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        reader = reader.option("recursiveFileLookup", "true")
+    if name_filter is not None:
+        reader = reader.option("pathGlobFilter", name_filter)
     return select_except(reader.parquet(root), discard)

@@ -49,3 +49,11 @@ def complete_after(spark: SparkSession, root: str, label: str, reached: int) ->
     """Committed N above `reached`, in order."""
     later = [n for n in numbered(spark, root, label) if n > reached]
     return [n for n in later if is_complete(spark, f"{root}/{label}={n}")]
+
+
+def committed(spark: SparkSession, root: str, label: str) -> list[int]:
+    """Sorted N of all committed `label=N` folders, from one listing of their marks."""
+    fs, _ = _open(spark, root)
+    marks = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{label}=*/_SUCCESS"))
+    names = [mark.getPath().getParent().getName() for mark in marks or []]
+    return sorted(int(n.removeprefix(f"{label}=")) for n in names)

@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tierflow.streaming.ingest import ANY_AGE
+
 
 def stream_files(
-    spark: SparkSession, schema: T.StructType, path: str, max_files: int | None = None
+    spark: SparkSession,
+    schema: T.StructType,
+    path: str,
+    max_files: int | None = None,
+    max_file_age: str = ANY_AGE,
 ) -> DataFrame:
-    """Parquet folder as a stream; an explicit schema makes an empty folder legal."""
-    reader = spark.readStream.schema(schema)
+    """Parquet folder as a stream; an explicit schema makes an empty folder legal.
+
+    Files of any age are taken, so a late or backfilled file with an old date is not lost.
+    """
+    reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

@@ -31,7 +31,10 @@ from tierflow.sources.files import merged_schema
 
 RESCUED = "_rescued_data"
 INGESTED = "FechaIngestaDatos"
+#: Files of any age are taken; Spark's own default refuses those 7 days older than the newest.
+ANY_AGE = "36500d"
 DISCOVERY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+_ADDED = T.StructType([T.StructField(RESCUED, T.StringType()), T.StructField(INGESTED, T.TimestampType())])
 
 
 def literal_path(path: str) -> str:
@@ -132,12 +135,19 @@ def start_ingest(
     evolve: bool = True,
     max_files: int = 1000,
     ingested_at: datetime.datetime | None = None,
+    max_file_age: str = ANY_AGE,
+    name_filter: str | None = None,
 ) -> StreamingQuery:
     """Start appending all files that arrived since the last run.
 
     The query ends by itself once they are landed. A micro-batch takes at most
     `max_files` files, which bounds the path list that passes through the driver. With
     `evolve=False` unknown columns are rescued instead of added.
+
+    Every file that is new to the checkpoint is taken, whatever its date or name, unless
+    `max_file_age` or the glob `name_filter` says otherwise; the checkpoint remembers file
+    names for that long. A file that is not parquet fails the batch. Names that begin with
+    an underscore or a dot are skipped, as everywhere in Spark.
     """
     flow_root = f"{table}/flow={flow}"
     fresh = not storage.exists(spark, f"{checkpoint}/metadata")
@@ -169,13 +179,17 @@ def start_ingest(
         rows = union_all_by_name(parts).withColumn(INGESTED, stamp)
         lead_with(rows, lead).write.mode("overwrite").parquet(target)
 
-    return (
+    reader = (
         spark.readStream.format("binaryFile")
         .schema(DISCOVERY_SCHEMA)
-        .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
-        .load(source)
+        .option("maxFileAge", max_file_age)
+    )
+    if name_filter is not None:
+        reader = reader.option("pathGlobFilter", name_filter)
+    return (
+        reader.load(source)
         .select("path")
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
@@ -194,14 +208,37 @@ def ingest_files(
 def read_ingested(
     spark: SparkSession, table: str, flows: Sequence[str] = ("main",), lead: Sequence[str] = (INGESTED,)
 ) -> DataFrame:
-    """The whole history; columns that a batch did not have yet are null in its rows."""
+    """The committed history; columns that a batch did not have yet are null in its rows.
+
+    Batches without a commit mark are not read. Each flow is read with its own types; the
+    first flow that has a column gives its type, and values of other flows that do not fit
+    it are rescued.
+    """
+    known = {flow: stored_schema(spark, table, flow) for flow in flows}
     schema = T.StructType([])
-    for flow in flows:
-        known = stored_schema(spark, table, flow)
-        schema = widen(schema, known) if known is not None else schema
-    full = schema.add(RESCUED, "string").add(INGESTED, "timestamp")
-    roots = [f"{table}/flow={f}" for f in flows if storage.exists(spark, f"{table}/flow={f}")]
-    if not roots:
-        return lead_with(spark.createDataFrame([], full), [c for c in lead if c in full.names])
-    rows = spark.read.schema(full).option("basePath", table).parquet(*roots)
-    return lead_with(rows.drop("flow", "batch_id"), lead)
+    for own in known.values():
+        schema = widen(schema, own) if own is not None else schema
+    full = T.StructType([*schema.fields, *_ADDED.fields])
+    parts = []
+    for flow, own in known.items():
+        root = f"{table}/flow={flow}"
+        batches = [f"{root}/batch_id={n}" for n in storage.committed(spark, root, "batch_id")]
+        if not batches or own is None:
+            continue
+        types = {f.name: f.dataType for f in own.fields}
+        agree = all(types.get(f.name, f.dataType) == f.dataType for f in schema.fields)
+        layout = full if agree else T.StructType([*own.fields, *_ADDED.fields])
+        rows = spark.read.schema(layout).parquet(*batches)
+        parts.append(rows if agree else _refit(rows, schema))
+    rows = union_all_by_name(parts) if parts else spark.createDataFrame([], full)
+    return lead_with(rows, [c for c in lead if c in full.names])
+
+
+def _refit(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of one flow in the types of another; new misfits join what was rescued before."""
+    earlier = T.StructField("_rescued_before", T.StringType())
+    wanted = T.StructType([*schema.fields, earlier, _ADDED[INGESTED]])
+    fitted = fit_to_schema(rows.withColumnRenamed(RESCUED, earlier.name), wanted)
+    before, now = F.col(earlier.name), F.col(RESCUED)
+    both = F.when(before.isNotNull() & now.isNotNull(), F.concat(F.lit("["), before, F.lit(","), now, F.lit("]")))
+    return fitted.withColumn(RESCUED, F.coalesce(both, now, before)).drop(earlier.name)
