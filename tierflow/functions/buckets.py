@@ -14,15 +14,33 @@ def key_digest(key: str | Column | list[str], salt: str = "") -> Column:
     return F.xxhash64(*[as_col(k) for k in keys], *([F.lit(salt)] if salt else []))
 
 
+#: Slots that hashes are dealt to; a given digest is dealt to fewer unless told otherwise.
+FINE = 1 << 53
+
+
+def _slot(
+    key: str | Column | list[str], grain: int | None, digest: Column | None, salt: str, coarse: int
+) -> tuple[Column, int]:
+    grain = grain or (FINE if digest is None else coarse)
+    return F.pmod(key_digest(key, salt) if digest is None else digest, F.lit(grain)), grain
+
+
 def hash_flag(
     key: str | Column | list[str],
     fraction: float,
-    grain: int = 10_000,
+    grain: int | None = None,
     digest: Column | None = None,
     salt: str = "",
 ) -> Column:
-    """True for about `fraction` of the keys; the same keys on every run and layout."""
-    return F.pmod(key_digest(key, salt) if digest is None else digest, F.lit(grain)) < F.lit(round(fraction * grain))
+    """True for about `fraction` of the keys; the same keys on every run and layout.
+
+    A fraction that the grain cannot state to a thousandth of itself is an error.
+    """
+    slot, grain = _slot(key, grain, digest, salt, 10_000)
+    chosen = round(fraction * grain)
+    if abs(chosen - fraction * grain) > fraction * grain / 1000:
+        raise ValueError(f"a fraction of {fraction} needs a finer grain than {grain}")
+    return slot < F.lit(chosen)
 
 
 def hash_sample(
@@ -44,19 +62,27 @@ def unit_interval(
 def weighted_choice(
     key: str | Column | list[str],
     weights: dict[str, float],
-    grain: int = 1_000_000,
+    grain: int | None = None,
     digest: Column | None = None,
     salt: str = "",
 ) -> Column:
-    """One of the labels per key, in proportion to the (not yet normalised) weights."""
-    whole = sum(weights.values())
-    slot = F.pmod(key_digest(key, salt) if digest is None else digest, F.lit(grain))
-    labels = list(weights)
-    choice, reached = None, 0.0
-    for label in labels[:-1]:
+    """One of the labels per key, in proportion to the (not yet normalised) weights.
+
+    A weight above 0 that the grain would round to nothing is an error.
+    """
+    slot, grain = _slot(key, grain, digest, salt, 1_000_000)
+    whole, labels = sum(weights.values()), list(weights)
+    choice, reached, last = None, 0.0, 0
+    for label in labels:
         reached += weights[label]
-        edge = F.lit(round(grain * reached / whole))
-        choice = F.when(slot < edge, label) if choice is None else choice.when(slot < edge, label)
+        edge = round(grain * reached / whole)
+        if weights[label] > 0 and edge == last:
+            raise ValueError(f"the weight of {label!r} needs a finer grain than {grain}")
+        last = edge
+        if label == labels[-1]:
+            break
+        chosen = slot < F.lit(edge)
+        choice = F.when(chosen, label) if choice is None else choice.when(chosen, label)
     if choice is None:
         return F.lit(labels[0])
     return choice.otherwise(labels[-1])
