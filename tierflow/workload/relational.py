@@ -57,7 +57,6 @@ from tierflow.plans import rules
 from tierflow.workload.registry import Tables, query
 
 AS_OF = datetime.date(2001, 8, 1)
-RECENT = "2001-01-01"
 KIND = "o_orderpriority"
 
 
@@ -161,17 +160,16 @@ def point_aggregate(t: Tables):
 
 @query(
     f"""with m as (select o_custkey as c_custkey, {ORDER_METRICS_SQL} from orders
-      where o_orderdate >= timestamp '{RECENT}' group by o_custkey)
+      group by o_custkey)
     select c.c_custkey, c_name, c_mktsegment, coalesce(n_deposits, 0) as n_deposits,
       coalesce(n_withdrawals, 0) as n_withdrawals, coalesce(avg_deposit, 0.0) as avg_deposit,
       coalesce(avg_withdrawal, 0.0) as avg_withdrawal, coalesce(paid, 0.0) as paid
     from customer c left join m on c.c_custkey = m.c_custkey"""
 )
 def left_join_zero_fill(t: Tables):
-    recent = t.orders.filter(F.col("o_orderdate") >= F.lit(RECENT).cast("timestamp_ntz"))
     metrics = order_metrics()
     measured = conditional_aggs(
-        recent.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"], metrics
+        t.orders.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"], metrics
     )
     fills = {m.name: 0 if m.kind == "count" else 0.0 for m in metrics}
     return left_join_fill(
@@ -179,28 +177,27 @@ def left_join_zero_fill(t: Tables):
     )
 
 
-def latest_order(t: Tables, since: str | None = None):
-    orders = t.orders
-    if since:
-        orders = orders.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
-    return latest_by_key(orders, ["o_custkey"], ["o_orderdate"], ["o_orderkey"])
+def latest_order(t: Tables):
+    return latest_by_key(t.orders, ["o_custkey"], ["o_orderdate"], ["o_orderkey"])
 
 
 LATEST_ORDER_SQL = """latest as (select * exclude (rn) from (select *, row_number() over (
     partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn
     from orders {where}) where rn = 1)"""
 LATEST_SQL = LATEST_ORDER_SQL.format(where="")
-LATEST_RECENT_SQL = LATEST_ORDER_SQL.format(where=f"where o_orderdate >= timestamp '{RECENT}'")
+LATEST_URGENT_SQL = LATEST_ORDER_SQL.format(where="where o_orderpriority = '1-URGENT'")
 
 
 @query(
-    f"""with {LATEST_RECENT_SQL}
-    select c.*, l.* exclude (o_custkey) from customer c left join latest l
-    on c.c_custkey = l.o_custkey""",
+    """select d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+    from documents d left join labels l on d.doc_id = l.doc_id""",
     name="dim_left_join",
 )
-def customers_with_latest_order(t: Tables):
-    return dim_left_join(t.customer, latest_order(t, RECENT), "c_custkey", "o_custkey")
+def documents_with_labels(t: Tables):
+    labels = t.labels.withColumnRenamed("doc_id", "label_id")
+    return dim_left_join(
+        t.documents.select("doc_id", "lang", "source", "n_chars"), labels, "doc_id", "label_id"
+    )
 
 
 @query(
@@ -532,7 +529,11 @@ def text_join(t: Tables):
 
 
 def ladder_input(t: Tables):
-    joined = dim_left_join(t.customer, latest_order(t, RECENT), "c_custkey", "o_custkey")
+    # Customers without an urgent order have nulls here.
+    urgent = F.struct("o_orderdate", "o_orderkey", "o_orderstatus", "o_totalprice")
+    newest = F.max(F.when(F.col(KIND) == "1-URGENT", urgent)).alias("newest")
+    summary = t.orders.groupBy("o_custkey").agg(newest).select("o_custkey", "newest.*")
+    joined = dim_left_join(t.customer, summary, "c_custkey", "o_custkey")
     market = F.col("c_mktsegment")
     return joined.select(
         "c_custkey",
@@ -550,7 +551,7 @@ def ladder_input(t: Tables):
     )
 
 
-LADDER_INPUT_SQL = f"""{LATEST_RECENT_SQL}, x as (select c_custkey,
+LADDER_INPUT_SQL = f"""{LATEST_URGENT_SQL}, x as (select c_custkey,
     '0' || cast(c_nationkey % 5 + 1 as varchar) as level, c_custkey * 7919 % 551 + 300 as score,
     case when o_orderstatus = 'F' then 'SI' when o_orderstatus is not null then 'NO' end as arrears,
     c_acctbal * 30 as available, o_totalprice as credit_limit,
