@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow.plans import contracts, rules
+from tierflow.plans import contracts
 from tierflow.plans.gold import SUMMARY_COLUMNS, atm_behaviour, customer_summary
 from tierflow.plans.silver import customer_dimension, enriched_transactions
 from tierflow.session import scratch
@@ -204,7 +204,7 @@ def test_upsert_keeps_newest_over_late_rows_and_folds(spark, as_rows):
 
 def test_config_values(spark):
     config = spark.createDataFrame(
-        [(k, f"value of {k}") for k in rules.CONFIG_KEYS], "Clave string, Valor string"
+        [(k, f"value of {k}") for k in ("datalake", "catalog")], "Clave string, Valor string"
     )
     assert config_values(config, ["datalake"]) == {"datalake": "value of datalake"}
     with pytest.raises(ValueError, match="absent"):

@@ -49,7 +49,6 @@ TRANSACTION_CODES = {
     "DMCL": ("Domiciliacion", "ACH", 20, 3000),
     "CMSN": ("Comision Bancaria", "SYS", 1, 500),
 }
-DEFAULT_CHANNEL = "WEB"
 
 # Frequency bands of the transaction codes and their share in percent.
 BANDS = {
@@ -59,11 +58,6 @@ BANDS = {
 }
 BAND_SHARE = {"ALTA": 60.0, "MEDIA": 30.0, "BAJA": 10.0}
 
-# Codes that lower the balance, and codes that move cash in or out.
-DEBIT_CODES = ["DATM", "RTRO", "CMPR", "PGSV", "DMCL", "CMSN", "IMPT"]
-CASH_IN_CODES = ["CATM", "DPST"]
-CASH_OUT_CODES = ["DATM", "RTRO"]
-
 # Account type, name, weight, least and greatest available balance.
 ACCOUNT_TYPES = {
     "AHRO": ("Cuenta de Ahorro", 0.40, 0, 500000),
@@ -71,23 +65,6 @@ ACCOUNT_TYPES = {
     "PRES": ("Prestamo Personal", 0.20, 1000, 1000000),
     "INVR": ("Cuenta de Inversion", 0.10, 0, 100000),
 }
-CREDIT_TYPES = ["CRTE", "INVR"]
-
-# Attributes that may change between two customer snapshots.
-MUTABLE = (
-    "ADDR1 ADDR2 CITY STATE ZPCDE PHONE1 PHONE2 EMAIL MRTLST OCCPTN EMPLYR EMPADS "
-    "SGMNT RISKLV RSKSCR"
-).split()
-
-# Configuration keys that must be present.
-CONFIG_KEYS = [
-    "catalogoBronce",
-    "contenedorBronce",
-    "datalake",
-    "DirectorioBronce",
-    "catalogoPlata",
-    "catalogoOro",
-]
 
 
 def code_weights() -> dict[str, float]:

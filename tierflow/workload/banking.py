@@ -1,7 +1,7 @@
-"""Queries over the seven tables of the banking data product.
+"""Queries over the tables of the banking data product.
 
-The source tables are derived from customer, nation, region and orders; the SQL
-states the same derivation and the same product rules on its own.
+The source tables hold what customer, nation, region, orders and lineitem say; the SQL
+states the same mapping and the same product rules on its own.
 """
 
 from __future__ import annotations
@@ -12,18 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.operators import quality
-from tierflow.operators.aggregate import band_shares
 from tierflow.operators.projection import suffix_columns
-from tierflow.operators.snapshot import snapshot_drift
-from tierflow.plans import contracts, rules
-from tierflow.plans.feeds import (
-    balance_feed,
-    customer_facts,
-    master_feed,
-    next_master,
-    transaction_feed,
-)
+from tierflow.plans import contracts
 from tierflow.plans.gold import METRIC_NAMES, SUMMARY_COLUMNS, atm_behaviour, customer_summary
+from tierflow.plans.mapping import balance_rows, customer_facts, master_rows, transaction_rows
 from tierflow.plans.pipeline import ingest_bronze, refresh_all, with_ingest_time
 from tierflow.plans.silver import (
     customer_dimension,
@@ -36,38 +28,38 @@ from tierflow.workload.registry import Tables, query
 AS_OF = datetime.date(2001, 8, 1)
 FIRST = datetime.datetime(2001, 8, 1, 6, 0, 0)
 SECOND = datetime.datetime(2001, 8, 2, 6, 0, 0)
+SPLIT = datetime.datetime(1998, 1, 1)
 
 
-def facts(t: Tables) -> DataFrame:
-    return customer_facts(t.customer, t.nation, t.region, t.orders)
+def facts(t: Tables, orders: DataFrame | None = None) -> DataFrame:
+    return customer_facts(t.customer, t.nation, t.region, t.orders if orders is None else orders)
 
 
-def first_master(t: Tables) -> DataFrame:
-    return master_feed(facts(t), AS_OF)
+def split_date():
+    return F.lit(SPLIT).cast("timestamp_ntz")
 
 
-def following_master(first: DataFrame) -> DataFrame:
-    key = F.col("CUSTID")
-    return next_master(first, AS_OF, digest=key * 7919, bucket=key)
+def first_master(t: Tables) -> DataFrame:
+    """The first load: what was known before the split date."""
+    return master_rows(facts(t, t.orders.filter(F.col("o_orderdate") < split_date())))
 
 
-def corrections(first: DataFrame) -> DataFrame:
-    """The second load: only the rows that carry the run date."""
-    return following_master(first).filter(F.col("LSTUPD") == F.lit(AS_OF))
+def corrections(t: Tables) -> DataFrame:
+    """The second load: the customers that have ordered since."""
+    return master_rows(facts(t)).filter(F.col("LSTUPD") >= split_date())
 
 
 def balances(t: Tables) -> DataFrame:
-    return balance_feed(facts(t), AS_OF, digest=F.col("c_custkey") * 7919)
+    return balance_rows(facts(t))
 
 
 def transactions(t: Tables) -> DataFrame:
-    return transaction_feed(t.orders, digest=F.col("o_orderkey") * 7919)
+    return transaction_rows(t.orders, t.lineitem)
 
 
 def bronze_master(t: Tables) -> DataFrame:
-    first = first_master(t)
-    loads = with_ingest_time(first, FIRST), with_ingest_time(corrections(first), SECOND)
-    return loads[0].unionByName(loads[1])
+    first = with_ingest_time(first_master(t), FIRST)
+    return first.unionByName(with_ingest_time(corrections(t), SECOND))
 
 
 def silver_customers(t: Tables) -> DataFrame:
@@ -103,202 +95,71 @@ def expressions(text: str) -> dict[str, str]:
     return dict(line.strip().split(" := ", 1) for line in text.strip().splitlines())
 
 
-FACTS_SQL = """facts as (select c.*, c.c_custkey as k, n_name, r_name, n_regionkey, last_order,
-    n_orders, spent, split_part(c_name, '#', 1) as f, split_part(c_name, '#', 2) as l,
-    c.c_custkey * 7919 % 20000000 + 1000000 as inc,
-    date '2001-08-01' - cast(c.c_custkey * 7919 % 24455 + 6570 as int) as born,
-    date '2001-08-01' - cast(c.c_custkey * 3571 % 10920 + 30 as int) as opened
+FACTS_SQL = """{name} as (select c.*, n_name, r_name, n_regionkey, last_order, n_orders, spent
   from customer c left join nation on c_nationkey = n_nationkey
   left join region on n_regionkey = r_regionkey
   left join (select o_custkey, cast(max(o_orderdate) as date) as last_order, count(*) as n_orders,
       cast(sum(cast(o_totalprice as decimal(18,2))) as double) as spent
-    from orders group by o_custkey) on c.c_custkey = o_custkey)"""
+    from orders {where} group by o_custkey) on c.c_custkey = o_custkey)"""
+EARLY = "where o_orderdate < timestamp '1998-01-01'"
 
 MASTER_SQL = expressions("""
-CUSTID := k
-CUSTNM := f || ' ' || l
-FRSTNM := f
-LSTNM := l
-GNDR := ['F', 'M'][k % 2 + 1]
-IDTYPE := ['CED', 'PAS', 'RUC'][k % 3 + 1]
-IDNMBR := lpad(cast(k * 7919 % 1000000000 as varchar), 9, '0')
-MRTLST := ['S', 'C', 'D', 'V'][k % 4 + 1]
-ADDR1 := cast(k * 31 % 9998 + 1 as varchar) || ' ' || n_name || ' St'
-ADDR2 := case when k % 2 = 0 then 'Apt ' || cast(k % 998 + 1 as varchar) else '' end
-CITY := n_name
-STATE := r_name
-ZPCDE := lpad(cast(k * 37 % 100000 as varchar), 5, '0')
+CUSTID := c_custkey
+CUSTNM := c_name
+NATNLT := cast(c_nationkey as varchar)
 CNTRY := n_name
-PHONE1 := '+' || cast(c_nationkey as varchar) || '-' || lpad(cast(k * 7907 % 10000000 as varchar), 7, '0')
-EMAIL := lower(f || '.' || l || '@mail.example')
-BRNCOD := 'SUC' || lpad(cast(k % 50 + 1 as varchar), 3, '0')
-SGMNT := case c_mktsegment when 'AUTOMOBILE' then 'VIP' when 'BUILDING' then 'PREM' when 'HOUSEHOLD' then 'BAS' when 'FURNITURE' then 'STD' when 'MACHINERY' then 'STD' end
-CSTCAT := ['A', 'B', 'C', 'D'][k % 4 + 1]
-RISKLV := '0' || cast(k * 7 % 5 + 1 as varchar)
-ACCTST := ['AC', 'AC', 'AC', 'AC', 'AC', 'IN', 'IN', 'CL', 'SU'][k % 9 + 1]
-LGLLNM := f || ' ' || l
-BRTDT := born
-OPNDT := opened
+SGMNT := c_mktsegment
 LSTTRX := last_order
-LSTUPD := date '2001-08-01' - cast(k % 365 as int)
-CRTNDT := opened
-CNCLDT := case when k % 10 = 9 then opened + 3650 end
-BKRLDT := opened
-ANNLINC := inc / 100
-MNTHINC := ((inc - inc % 12) / 12) / 100
-CRDSCR := k * 7919 % 551 + 300
-DPNDNT := k % 8
-TTLPRD := k * 31 % 14 + 1
-FNCLYR := 2001
-AGECST := floor(date_diff('day', born, date '2001-08-01') / 365.25)
-YRBNKG := floor(date_diff('day', opened, date '2001-08-01') / 365.25)
-RSKSCR := (k * 7919 % 10000) / 100
-NUMPHN := k % 4 + 1
+LSTUPD := last_order
 """)
 
-FIRST_MASTER_SQL = (
-    f"{FACTS_SQL},\nm1 as (select {contract_select(contracts.MASTER, MASTER_SQL)} from facts)"
-)
-
-SECOND_MASTER_SQL = f"""{FIRST_MASTER_SQL},
-  moved as (select * replace (
-      'Nueva ' || ADDR1 as ADDR1, 'Apt 1' as ADDR2, CITY || '_N' as CITY, STATE || '_N' as STATE,
-      reverse(ZPCDE) as ZPCDE, '+0' || substr(PHONE1, 2) as PHONE1, PHONE1 as PHONE2,
-      'n.' || EMAIL as EMAIL, 'C' as MRTLST, 'REVISADA' as OCCPTN, 'REVISADO' as EMPLYR,
-      ADDR1 as EMPADS,
-      case SGMNT when 'VIP' then 'PREM' when 'PREM' then 'STD' when 'STD' then 'BAS'
-        when 'BAS' then 'VIP' end as SGMNT,
-      '0' || cast(cast(RISKLV as int) % 5 + 1 as varchar) as RISKLV, 100.0 - RSKSCR as RSKSCR,
-      date '2001-08-01' as LSTUPD)
-    from m1 where CUSTID * 7919 % 10000 < 2000),
-  models as (select * exclude (i), row_number() over (order by CUSTID % 4096, CUSTID) - 1 as j
-    from (select *, row_number() over (order by CUSTID % 4096, CUSTID) - 1 as i from m1)
-    where i < (select round(count(*) * 0.006) from m1)),
-  newcomers as (select * exclude (j) replace ((select max(CUSTID) from m1) + 1 + j as CUSTID,
-      date '2001-08-01' as CRTNDT, date '2001-08-01' as LSTUPD) from models),
-  m2 as (select * from m1 where CUSTID * 7919 % 10000 >= 2000
-    union all by name select * from moved union all by name select * from newcomers)"""
-
 BALANCE_SQL = expressions("""
-CUSTID := k
-ACCTID := kind || lpad(cast(k as varchar), 15, '0')
-ACCTTYP := kind
-ACCTNM := acct_name
-ACCTST := case when k % 50 = 0 then 'CN' else 'AC' end
-CRNCOD := ['USD', 'EUR', 'GBP'][k % 3 + 1]
-BRNCOD := 'SUC' || lpad(cast(k % 50 + 1 as varchar), 3, '0')
-SGMNT := ['PERS', 'PYME', 'CORP', 'PRIV'][k % 4 + 1]
-RISKLV := '0' || cast(k * 7 % 5 + 1 as varchar)
-RGNCD := 'R' || lpad(cast(n_regionkey as varchar), 3, '0')
+CUSTID := c_custkey
+SGMNT := c_mktsegment
+RGNCD := cast(n_regionkey as varchar)
 RGNNM := r_name
-BLKST := case when k % 33 = 0 then 'SI' else 'NO' end
-EMBST := case when k % 99 = 0 then 'SI' else 'NO' end
-OVDST := case when k * 13 % 12 = 0 then 'SI' else 'NO' end
-AVLBAL := avl / 100
-CURBAL := avl * (k * 17 % 11 + 95) / 10000
-AVGBAL := (avl / 100 + avl * (k * 17 % 11 + 95) / 10000) / 2.0
-CLSBAL := avl * (k * 17 % 11 + 95) / 10000
-CRDLMT := lim / 100
-CRDAVL := lim * (k * 11 % 70 + 20) / 10000
-CRDUSD := lim / 100 - lim * (k * 11 % 70 + 20) / 10000
+AVLBAL := c_acctbal
+CURBAL := c_acctbal
 TTLDBT := coalesce(spent, 0.0)
 TTLTRX := coalesce(n_orders, 0)
-LNAMT := case when kind = 'PRES' then avl else 0 end / 100
-INTRT := rate
-DLYINT := rate / 365.0::double * (avl / 100)
-OPNDT := opened
-CLSDT := case when k % 50 = 0 then opened + 365 end
 LSTTRX := last_order
-CRTDT := opened
-UPDDT := date '2001-08-01' - cast(k % 30 as int)
-BLKDT := case when k % 33 = 0 then date '2001-08-01' - 30 end
-EMBDT := case when k % 99 = 0 then date '2001-08-01' - 60 end
-OVDDT := case when k * 13 % 12 = 0 then date '2001-08-01' - 90 end
-PYMDT1 := opened + 30
-PYMDT2 := opened + 60
-CNCLDT := case when k % 50 = 0 then opened + 365 end
 """)
 
-BALANCES_SQL = f"""kinds(kind, acct_name, low, high) as (values
-    ('AHRO', 'Cuenta de Ahorro', 0, 500000), ('CRTE', 'Cuenta Corriente', 0, 250000),
-    ('PRES', 'Prestamo Personal', 1000, 1000000), ('INVR', 'Cuenta de Inversion', 0, 100000)),
-  slots as (select *, case when k * 7919 % 1000000 < 400000 then 'AHRO'
-      when k * 7919 % 1000000 < 700000 then 'CRTE' when k * 7919 % 1000000 < 900000 then 'PRES'
-      else 'INVR' end as slot, (k * 7919 % 2400 + 100) / 10000 as rate from facts),
-  accounts as (select *, cast(low as bigint) * 100
-      + k * 7919 * 13 % ((cast(high as bigint) - low) * 100) as avl,
-    case when kind in ('CRTE', 'INVR') then k * 7907 % 19500000 + 500000 else 0 end as lim
-    from slots join kinds on slot = kind),
-  b1 as (select {contract_select(contracts.BALANCES, BALANCE_SQL)} from accounts)"""
-
 TRANSACTION_SQL = expressions("""
-TRXID := cast(strftime(d, '%Y%m%d') || lpad(cast(k as varchar), 9, '0') as bigint)
+TRXID := cast(strftime(d, '%Y%m%d') || lpad(cast(o_orderkey as varchar), 9, '0') as bigint)
 CUSTID := o_custkey
 TRXTYP := code
 TRXDSC := descr
 CHNLCD := channel
-TRXSTS := case when o_orderstatus = 'P' then 'PN' else 'OK' end
-CRNCOD := ['USD', 'EUR', 'GBP'][k % 3 + 1]
-BRNCOD := 'SUC' || lpad(cast(k % 8 + 1 as varchar), 3, '0')
-ATMID := case when channel = 'ATM' then 'ATM' || lpad(cast(k % 200 + 1 as varchar), 6, '0') else '' end
+TRXSTS := o_orderstatus
 TRXDT := d
-TRXTM := d + to_seconds(k * 7 % 24 * 3600 + k * 11 % 60 * 60 + k * 13 % 60)
-PRCDT := d
-PRCTM := d + to_seconds(k * 7 % 24 * 3600 + k * 11 % 60 * 60 + k * 13 % 60)
-VLDT := d + cast(k % 3 as int)
-STLDT := d + cast(k % 4 + 1 as int)
-PSTDT := d
-CRTDT := d
-RVRSDT := case when k % 20 = 7 then d + cast(k % 30 as int) end
-DSPDT := case when k % 50 = 3 then d + cast(k % 89 + 1 as int) end
-TRXAMT := amt / 100
-ORGAMT := amt / 100
-FEEAMT := fee / 100
-TAXAMT := tax / 100
-NETAMT := (amt - fee - tax) / 100
-BLNBFR := bef / 100
-BLNAFT := aft / 100
-XCHGRT := rate
-CVTAMT := amt / 100 * rate
-PNLAMT := case when k % 5 <> 0 then case when k % 20 = 0 then k * 31 % 5000 else 0 end / 100 end
-REFAMT := amt / 100
-LIMAMT := lim / 100
-AVLAMT := (lim - amt) / 100
-AVGAMT := (bef / 100 + aft / 100) / 2.0
-CSHREC := case when code in ('CATM', 'DPST') then amt / 100 else 0.0 end
-CSHGVN := case when code in ('DATM', 'RTRO') then amt / 100 else 0.0 end
-DLYACM := k * 7919 % 10000000 / 100
-WKACM := k * 7919 % 10000000 * 7 / 100
-MTHACM := k * 7919 % 10000000 * 30 / 100
+TRXTM := o_orderdate
+TRXAMT := o_totalprice
+ORGAMT := gross
+DSCAMT := discount
+TAXAMT := tax
+NETAMT := net
 """)
 
-TRANSACTIONS_SQL = f"""codes(code, upto, descr, channel, low, high) as (values
-    ('CATM', 120000, 'Credito por ATM', 'ATM', 10, 1000),
-    ('DATM', 240000, 'Debito por ATM', 'ATM', 10, 1000),
-    ('CMPR', 360000, 'Compra POS', 'POS', 5, 15000),
-    ('TINT', 480000, 'Transferencia Interna', 'WEB', 50, 50000),
-    ('DPST', 600000, 'Deposito en Sucursal', 'SUC', 50, 100000),
-    ('PGSL', 650000, 'Pago al Saldo', 'WEB', 100, 25000),
-    ('TEXT', 700000, 'Transferencia Externa', 'WEB', 50, 50000),
-    ('RTRO', 750000, 'Retiro en Sucursal', 'SUC', 50, 100000),
-    ('PGSV', 800000, 'Pago de Servicios', 'WEB', 10, 5000),
-    ('NMNA', 850000, 'Deposito de Nomina', 'ACH', 1000, 15000),
-    ('INTR', 900000, 'Interes Generado', 'SYS', 1, 5000),
-    ('ADSL', 925000, 'Adelanto Salarial', 'WEB', 500, 10000),
-    ('IMPT', 950000, 'Impuesto Retenido', 'SYS', 1, 2000),
-    ('DMCL', 975000, 'Domiciliacion', 'ACH', 20, 3000),
-    ('CMSN', 1000000, 'Comision Bancaria', 'SYS', 1, 500)),
-  span as (select *, lag(upto, 1, 0) over (order by upto) as above from codes),
-  priced as (select *, o_orderkey as k, cast(o_orderdate as date) as d, cast(low as bigint) * 100
-      + o_orderkey * 7919 % ((cast(high as bigint) - low) * 100 + 1) as amt
-    from orders join span on o_orderkey * 7919 % 1000000 >= above
-      and o_orderkey * 7919 % 1000000 < upto),
-  charged as (select *, cast(floor(amt * (k * 3 % 30 + 1) / 1000) as bigint) as fee,
-      cast(floor(amt * (k * 7 % 15) / 1000) as bigint) as tax,
-      k * 7907 % 49900000 + 100000 as bef, k * 3571 % 49500000 + 500000 as lim,
-      (k * 7919 % 700001 + 800000) / 1000000 as rate from priced),
-  settled as (select *, case when code in ('DATM', 'RTRO', 'CMPR', 'PGSV', 'DMCL', 'CMSN', 'IMPT')
-      then bef - amt else bef + amt end as aft from charged),
+SOURCES_SQL = f"""{FACTS_SQL.format(name="early", where=EARLY)},
+  {FACTS_SQL.format(name="facts", where="")},
+  m1 as (select {contract_select(contracts.MASTER, MASTER_SQL)} from early),
+  m2 as (select {contract_select(contracts.MASTER, MASTER_SQL)} from facts
+    where last_order >= date '1998-01-01'),
+  b1 as (select {contract_select(contracts.BALANCES, BALANCE_SQL)} from facts)"""
+
+TRANSACTIONS_SQL = f"""codes(priority, code, descr, channel) as (values
+    ('1-URGENT', 'CATM', 'Credito por ATM', 'ATM'), ('2-HIGH', 'DATM', 'Debito por ATM', 'ATM'),
+    ('3-MEDIUM', 'CMPR', 'Compra POS', 'POS'),
+    ('4-NOT SPECIFIED', 'TINT', 'Transferencia Interna', 'WEB'),
+    ('5-LOW', 'PGSL', 'Pago al Saldo', 'WEB')),
+  exact_lines as (select l_orderkey, cast(l_extendedprice as decimal(18,2)) as price,
+      cast(l_discount as decimal(18,2)) as off, cast(l_tax as decimal(18,2)) as rate from lineitem),
+  charges as (select l_orderkey, cast(sum(price) as double) as gross,
+      cast(sum(price * off) as double) as discount, cast(sum(price * rate) as double) as tax,
+      cast(sum(price * (1 - off)) as double) as net from exact_lines group by l_orderkey),
+  settled as (select *, cast(o_orderdate as date) as d from orders
+    left join charges on o_orderkey = l_orderkey left join codes on o_orderpriority = priority),
   t1 as (select {contract_select(contracts.TRANSACTIONS, TRANSACTION_SQL)} from settled)"""
 
 
@@ -307,10 +168,9 @@ def renamed_select(contract: str, side: str, skip: tuple[str, ...] = ()) -> str:
     return ", ".join(f"{side}.{a} as {b}" for a, _, b in lines if b != "-" and a not in skip)
 
 
-SILVER_CUSTOMERS_SQL = f"""{SECOND_MASTER_SQL}, {BALANCES_SQL},
+SILVER_CUSTOMERS_SQL = f"""{SOURCES_SQL},
   bronze as (select *, timestamp '2001-08-01 06:00:00' as came from m1
-    union all by name select *, timestamp '2001-08-02 06:00:00' as came from m2
-      where LSTUPD = date '2001-08-01'),
+    union all by name select *, timestamp '2001-08-02 06:00:00' as came from m2),
   newest as (select * exclude (rn) from (select *, row_number() over (
       partition by CUSTID order by came desc, LSTUPD desc) as rn from bronze) where rn = 1),
   wide as (select {renamed_select(contracts.MASTER, "c")}, c.came as fecha_ingesta_maestro,
@@ -388,26 +248,6 @@ SUMMARY_SQL = f"""with {SILVER_CUSTOMERS_SQL}, {ATM_SQL}
 # --------------------------------------------------------------------- queries
 
 
-@query(f"with {FIRST_MASTER_SQL} select * from m1")
-def bank_master_source(t: Tables):
-    return first_master(t)
-
-
-@query(f"with {SECOND_MASTER_SQL} select * from m2")
-def bank_master_next_snapshot(t: Tables):
-    return following_master(first_master(t))
-
-
-@query(f"with {FACTS_SQL}, {BALANCES_SQL} select * from b1")
-def bank_balances_source(t: Tables):
-    return balances(t)
-
-
-@query(f"with {TRANSACTIONS_SQL} select * from t1")
-def bank_transactions_source(t: Tables):
-    return transactions(t)
-
-
 @query(f"with {SILVER_CUSTOMERS_SQL} select * exclude (idle) from customers")
 def bank_customers_silver(t: Tables):
     return silver_customers(t)
@@ -434,83 +274,50 @@ def bank_product_end_to_end(t: Tables):
     """Land two loads, ingest each, refresh silver and gold, and read the summary."""
     root = scratch(t.spark, "bank")
     landing = {name: f"{root}/landing/{name}" for name in ("cmstfl", "trxpfl", "blncfl")}
-    master = first_master(t)
-    master.write.parquet(f"{landing['cmstfl']}/2001/08/01")
+    first_master(t).write.parquet(f"{landing['cmstfl']}/2001/08/01")
     balances(t).write.parquet(f"{landing['blncfl']}/2001/08/01")
     transactions(t).write.parquet(f"{landing['trxpfl']}/2001/08/01")
     ingest_bronze(t.spark, landing, root, FIRST)
-    landed = t.spark.read.parquet(f"{landing['cmstfl']}/2001/08/01")
-    corrections(landed).write.parquet(f"{landing['cmstfl']}/2001/08/02")
+    corrections(t).write.parquet(f"{landing['cmstfl']}/2001/08/02")
     ingest_bronze(t.spark, landing, root, SECOND)
     return refresh_all(t.spark, root, AS_OF, money_scale=2)["resumen_integral_cliente"]
 
 
 @query(
-    f"""with {SILVER_TRANSACTIONS_SQL}, b as (select case
-        when tipo_transaccion in ('CATM', 'DATM', 'CMPR', 'TINT', 'DPST') then 'ALTA'
-        when tipo_transaccion in ('PGSL', 'TEXT', 'RTRO', 'PGSV', 'NMNA', 'INTR') then 'MEDIA'
-        when tipo_transaccion in ('ADSL', 'IMPT', 'DMCL', 'CMSN') then 'BAJA'
-        else 'OTHER' end as band from enriched),
-      s as (select band, count(*) as n_rows, count(*) * 100 / sum(count(*)) over () as share_pct
-        from b group by band),
-      w(band, target_pct) as (values ('ALTA', 60.0), ('MEDIA', 30.0), ('BAJA', 10.0))
-    select s.band, n_rows, share_pct, cast(target_pct as double) as target_pct,
-      coalesce(abs(share_pct - target_pct) <= 5, false) as ok
-    from s full join w on s.band = w.band"""
-)
-def bank_code_distribution(t: Tables):
-    shares = band_shares(silver_transactions(t), "tipo_transaccion", rules.BANDS)
-    return quality.distribution_check(shares, rules.BAND_SHARE, 5.0)
-
-
-@query(
-    f"""with {TRANSACTIONS_SQL} select TRXTYP as category, min(TRXAMT) as min_value,
-      max(TRXAMT) as max_value, cast(any_value(low) as double) as low,
-      cast(any_value(high) as double) as high,
-      min(TRXAMT) >= any_value(low) and max(TRXAMT) <= any_value(high) as ok
-    from t1 join codes on TRXTYP = code group by TRXTYP"""
-)
-def bank_amount_ranges(t: Tables):
-    limits = {code: (row[2], row[3]) for code, row in rules.TRANSACTION_CODES.items()}
-    return quality.category_limits(transactions(t), "TRXTYP", "TRXAMT", limits)
-
-
-@query(
-    """select unnest(['monto_neto_comisiones', 'porcentaje_comision_sobre_monto',
+    f"""with {SILVER_TRANSACTIONS_SQL}, n as (select count(*) as n,
+      count(*) filter (where identificador_transaccion % 97 = 0) as odd,
+      count(*) filter (where identificador_transaccion % 89 = 0) as lost from enriched)
+    select unnest(['monto_neto_comisiones', 'porcentaje_comision_sobre_monto',
         'variacion_saldo_transaccion', 'indicador_impacto_financiero']) as column_name,
-      unnest([n, n, n, n]) as n_rows, unnest([0, 0, 0, 0]::bigint[]) as n_breaks,
-      unnest([true, true, true, true]) as ok from (select count(*) as n from orders)"""
+      unnest([n, n, n, n]) as n_rows, unnest([odd, 0, 0, lost]) as n_breaks,
+      unnest([odd = 0, true, true, lost = 0]) as ok from n"""
 )
 def bank_formula_recheck(t: Tables):
-    return quality.formula_breaks(silver_transactions(t), transaction_measures())
-
-
-@query(
-    f"""with {SECOND_MASTER_SQL}, j as (select o.CUSTID as a, n.CUSTID as b,
-        {" or ".join(f"o.{c} is distinct from n.{c}" for c in rules.MUTABLE)} as diff
-      from m1 o full join m2 n on o.CUSTID = n.CUSTID)
-    select count(*) filter (where a is not null and b is not null) as n_kept,
-      count(*) filter (where a is not null and b is not null and diff) as n_changed,
-      count(*) filter (where a is null) as n_added, count(*) filter (where b is null) as n_removed,
-      max(a) as max_old_key, min(case when a is null then b end) as min_added_key,
-      count(*) filter (where a is not null and b is not null and diff) * 100
-        / count(*) filter (where a is not null and b is not null) as changed_pct,
-      min(case when a is null then b end) = max(a) + 1 as keys_continue from j"""
-)
-def bank_snapshot_drift(t: Tables):
-    first = first_master(t)
-    return snapshot_drift(first, following_master(first), "CUSTID", rules.MUTABLE)
+    """Breaks are planted in two measures: a wrong amount and a lost one."""
+    key = F.col("identificador_transaccion")
+    net, impact = F.col("monto_neto_comisiones"), F.col("indicador_impacto_financiero")
+    stored = silver_transactions(t).withColumns(
+        {
+            "monto_neto_comisiones": F.when(key % 97 == 0, net + 1).otherwise(net),
+            "indicador_impacto_financiero": F.when(key % 89 != 0, impact),
+        }
+    )
+    return quality.formula_breaks(stored, transaction_measures())
 
 
 @query(
-    f"""with {ATM_SQL}, n as (select count(*) as n from behaviour)
+    f"""with {ATM_SQL}, n as (select count(*) as n,
+      count(*) filter (where identificador_cliente % 50 = 0) as odd from behaviour)
     select unnest(['identificador_cliente', {", ".join(f"'{name}'" for name in METRIC_NAMES)}])
-        as column_name, n as n_keys, 0::bigint as n_breaks, true as ok from n"""
+        as column_name, n as n_keys, unnest([0, odd, 0, 0, 0, 0]) as n_breaks,
+      unnest([true, odd = 0, true, true, true, true]) as ok from n"""
 )
 def bank_gold_reconciliation(t: Tables):
-    """The five metrics of every customer, recomputed from silver by separate filters."""
+    """The five metrics of every customer, recomputed from silver; some counts are off."""
     silver = silver_transactions(t)
-    gold = atm_behaviour(silver)
+    count = F.col("cantidad_depositos_atm")
+    off = (F.col("identificador_cliente") % 50 == 0).cast("bigint")
+    gold = atm_behaviour(silver).withColumn("cantidad_depositos_atm", count + off)
     amount = F.coalesce("monto_transaccion", F.lit(0.0))
     kind = F.col("tipo_transaccion")
     per_kind = silver.groupBy("identificador_cliente").pivot(

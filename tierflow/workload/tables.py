@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.operators.sets import set_except
-from tierflow.plans.feeds import transaction_feed
+from tierflow.plans.mapping import transaction_rows
 from tierflow.plans.silver import enriched_transactions
 from tierflow.session import scratch
 from tierflow.sources import sinks
@@ -89,7 +89,7 @@ def native_stream_append(t: Tables):
 def incremental_equals_full(t: Tables):
     root = scratch(t.spark, "incremental")
     for part in halves(t.orders):
-        feed = transaction_feed(part).withColumn(INGESTED, F.lit(AT))
+        feed = transaction_rows(part, t.lineitem).withColumn(INGESTED, F.lit(AT))
         feed.write.mode("append").parquet(f"{root}/bronze")
         stream = stream_files(t.spark, feed.schema, f"{root}/bronze")
         incremental_view(stream, enriched_transactions, f"{root}/silver", f"{root}/checkpoint")
