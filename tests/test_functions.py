@@ -154,3 +154,12 @@ def test_weighted_choice_follows_the_weights(spark):
     for band, codes in rules.BANDS.items():
         assert abs(sum(shares[c] for c in codes) - rules.BAND_SHARE[band]) < 5
     assert set(shares) == set(rules.TRANSACTION_CODES)
+
+
+def test_small_fractions_and_weights_are_not_lost(spark):
+    rows = spark.range(4_000_000)
+    assert 0 < rows.filter(fn.hash_flag("id", 1e-6)).count() < 20
+    with pytest.raises(ValueError):
+        fn.hash_flag("id", 1e-6, digest=F.col("id"))
+    with pytest.raises(ValueError):
+        fn.weighted_choice("id", {"a": 1.0, "b": 1e-9}, digest=F.col("id"))

@@ -13,8 +13,10 @@ from tierflow.operators.joins import anti_keys, assign_key, dim_left_join, left_
 from tierflow.operators.keys import continue_key, dense_index
 from tierflow.operators.latest import latest_by_key, latest_by_key_agg, scd2_history
 from tierflow.operators.projection import conform, lead_with, select_except
+from tierflow.operators.quality import reconcile
 from tierflow.operators.sets import set_except
 from tierflow.operators.snapshot import evolve_snapshot, grow_snapshot, snapshot_drift
+from tierflow.session import scratch
 
 
 def day(n):
@@ -251,3 +253,25 @@ def test_blank_configuration_values_do_not_count(spark):
     config = spark.createDataFrame([("a", "x"), ("b", "  ")], "Clave string, Valor string")
     found = {r.required: r.ok for r in quality.config_completeness(config, ["a", "b", "c"]).collect()}
     assert found == {"a": True, "b": False, "c": False}
+
+
+def test_comparisons_sort_for_no_aggregate(spark):
+    old = spark.range(50).selectExpr("id", "cast(id as string) as name")
+    new = spark.range(5, 60).selectExpr("id", "cast(id * 2 as string) as name")
+    compared = [
+        table_changes(old, new, ["id"]),
+        snapshot_drift(old, new, "id", ["name"]),
+        reconcile(old, new, "id", ["name"]),
+    ]
+    for df in compared:
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grow_snapshot_reads_its_input_a_few_times(spark):
+    root = scratch(spark, "grow")
+    spark.range(1000).selectExpr("id as k", "id % 7 as v").write.parquet(root)
+    grown = grow_snapshot(spark.read.parquet(root), "k", 0.05)
+    plan = grown._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 6
+    got = grown.collect()
+    assert sorted(r.k for r in got) == list(range(1000, 1050))

@@ -13,6 +13,7 @@ from tierflow.session import scratch
 from tierflow.sources import sinks, storage
 from tierflow.sources.files import scan_table
 from tierflow.sources.jdbc import config_values, jdbc_options
+from tierflow.streaming.append import append_stream, stream_files
 from tierflow.streaming.ingest import ingest_files, read_ingested, stored_schema
 from tierflow.streaming.upsert import current_rows, fold, upsert_stream
 
@@ -137,6 +138,56 @@ def test_unfinished_batch_is_replaced(spark, landing):
     assert [r.k for r in landing.read().collect()] == [1]
 
 
+def test_late_and_oddly_named_files_are_taken(spark, landing):
+    landing.land([(k,) for k in range(5)], "k bigint")
+    landing.ingest()
+    landing.land([(k,) for k in range(5, 8)], "k bigint")
+    folder = f"{landing.root}/in/2026/03/02"
+    fs, target = storage._open(spark, folder)
+    for status in fs.listStatus(target):
+        name = status.getPath().getName()
+        if name.endswith(".parquet"):
+            odd = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name.removesuffix('.parquet')}.parq")
+            assert fs.rename(status.getPath(), odd)
+    storage.set_age(spark, folder, 30)
+    landing.ingest()
+    assert sorted(r.k for r in landing.read().collect()) == list(range(8))
+
+
+def test_late_files_reach_an_appending_stream(spark):
+    root = scratch(spark, "late-append")
+    schema = spark.range(1).schema
+    for i in range(2):
+        spark.range(5).write.parquet(f"{root}/in/load{i}")
+        if i:
+            storage.set_age(spark, f"{root}/in/load{i}", 30)
+        append_stream(stream_files(spark, schema, f"{root}/in/*"), f"{root}/out", f"{root}/check")
+    assert spark.read.parquet(f"{root}/out").count() == 10
+
+
+def test_batches_without_a_commit_mark_are_not_read(spark, landing):
+    landing.land([(1,)], "k bigint")
+    landing.ingest()
+    folder = f"{landing.table}/flow=main/batch_id=99"
+    landing.read().write.parquet(folder)
+    fs, mark = storage._open(spark, f"{folder}/_SUCCESS")
+    assert fs.delete(mark, False)
+    assert landing.read().count() == 1
+
+
+def test_flows_of_different_types_are_read_together(spark, landing):
+    landing.land([(1, 10)], "k bigint, v bigint")
+    landing.ingest()
+    landing.land([(2, "20"), (3, "x")], "k bigint, v string")
+    ingest_files(
+        spark, f"{landing.root}/in/2026/03/02", landing.table, f"{landing.root}/other",
+        flow="second", ingested_at=AT,
+    )
+    got = {r.k: r for r in read_ingested(spark, landing.table, flows=["main", "second"]).collect()}
+    assert {k: r.v for k, r in got.items()} == {1: 10, 2: 20, 3: None}
+    assert json.loads(got[3]._rescued_data)["v"] == "x"
+
+
 def test_view_versions(spark, as_rows):
     root = scratch(spark, "view")
     with pytest.raises(ValueError):

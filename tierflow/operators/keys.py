@@ -15,15 +15,14 @@ def one_row_per_key(
 ) -> DataFrame:
     """Key struct and row struct of a table whose keys are unique; a repeated key fails.
 
-    Repeats combine on the map side, so neither a hot key nor the pairs it would form
-    reach a later join, and that join reuses the shuffle of this aggregate. As a struct,
-    null keys compare equal.
+    A count per key (a hash aggregate over the keys alone, combined on the map side) runs
+    first, as a scalar subquery; its maximum decides before any row is joined. As a
+    struct, null keys compare equal.
     """
-    grouped = df.groupBy(F.struct(*keys).alias(key)).agg(
-        F.any_value(F.struct(*columns)).alias(row), F.count(F.lit(1)).alias("_n")
-    )
+    most = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).scalar()
     stop = F.raise_error(F.lit(f"the key {', '.join(keys)} occurs more than once"))
-    return grouped.select(key, F.when(F.col("_n") == 1, F.col(row)).otherwise(stop).alias(row))
+    checked = F.when(F.coalesce(most, F.lit(0)) <= 1, F.struct(*columns)).otherwise(stop)
+    return df.select(F.struct(*keys).alias(key), checked.alias(row))
 
 
 def dense_index(

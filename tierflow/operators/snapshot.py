@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.operators.keys import continue_key, dense_index, one_row_per_key
+from tierflow.operators.keys import dense_index, one_row_per_key
 
 
 def evolve_snapshot(
@@ -32,16 +32,14 @@ def grow_snapshot(
 ) -> DataFrame:
     """round(rows * growth) newcomers modelled on existing rows, keys from max + 1.
 
-    Only the keys are indexed to choose the models; wide rows are joined afterwards.
+    The keys alone are indexed, once: the first of them are the models, and a newcomer's
+    key follows from its model's number. Wide rows are joined afterwards.
     """
-    wanted = F.round(df.agg(F.count(F.lit(1)).alias("n")).scalar() * F.lit(growth))
+    facts = df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.max(key).alias("top")).alias("f")).scalar()
+    wanted = F.round(facts["n"] * F.lit(growth))
     index = dense_index(df.select(key), key, "_idx", buckets=buckets, bucket=bucket)
     models = index.filter(F.col("_idx") < wanted)
-    rows = df.join(models, key).drop("_idx").withColumn("_model", F.col(key))
-    fresh = continue_key(
-        df, key, rows, "_model", buckets=buckets,
-        bucket=None if bucket is None else F.pmod("_model", F.lit(buckets)),
-    )
+    fresh = df.join(models, key).withColumn(key, facts["top"] + 1 + F.col("_idx"))
     return fresh.withColumns(dict(overrides or {})).select(*df.columns)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -57,3 +59,11 @@ def committed(spark: SparkSession, root: str, label: str) -> list[int]:
     marks = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{label}=*/_SUCCESS"))
     names = [mark.getPath().getParent().getName() for mark in marks or []]
     return sorted(int(n.removeprefix(f"{label}=")) for n in names)
+
+
+def set_age(spark: SparkSession, folder: str, days: int) -> None:
+    """Date the files of a folder `days` back, as copies that keep their date are."""
+    fs, target = _open(spark, folder)
+    then = int((time.time() - days * 86_400) * 1000)
+    for status in fs.listStatus(target):
+        fs.setTimes(status.getPath(), then, -1)

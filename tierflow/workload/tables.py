@@ -15,7 +15,7 @@ from tierflow.operators.sets import set_except
 from tierflow.plans.mapping import transaction_rows
 from tierflow.plans.silver import enriched_transactions
 from tierflow.session import scratch
-from tierflow.sources import sinks
+from tierflow.sources import sinks, storage
 from tierflow.sources.files import scan_dated
 from tierflow.streaming.append import append_stream, incremental_view, stream_files
 from tierflow.streaming.ingest import INGESTED, RESCUED, ingest_files, read_ingested
@@ -85,6 +85,19 @@ def native_stream_append(t: Tables):
     return t.spark.read.parquet(f"{root}/table")
 
 
+@query("select * from events")
+def late_file_ingest(t: Tables):
+    """The second load comes in files dated a month before those of the first."""
+    root = scratch(t.spark, "late")
+    later = F.dayofmonth("ts") > 20
+    for i, part in enumerate((t.events.filter(later), t.events.filter(~later))):
+        part.write.parquet(f"{root}/landing/load{i}")
+        if i:
+            storage.set_age(t.spark, f"{root}/landing/load{i}", 30)
+        ingest_files(t.spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint", ingested_at=AT)
+    return read_ingested(t.spark, f"{root}/table").select(*t.events.columns)
+
+
 @query("select count(*) as n_full, count(*) as n_incremental, 0::bigint as n_different from orders")
 def incremental_equals_full(t: Tables):
     root = scratch(t.spark, "incremental")
