@@ -370,3 +370,34 @@ def test_enriched_transactions_and_gold(bank):
 def test_contract_types(contract, counts):
     kinds = [f.dataType.simpleString() for f in contracts.source_schema(contract).fields]
     assert {k: kinds.count(k) for k in set(kinds)} == counts
+def test_refresh_takes_only_new_facts_and_counts_drops(spark):
+    from tierflow.plans.pipeline import ingest_bronze, refresh_all
+
+    root = scratch(spark, "product")
+    landing = {name: f"{root}/landing/{name}" for name in ("cmstfl", "trxpfl", "blncfl")}
+
+    def land(load, name, contract, rows):
+        layout = contracts.source_schema(contract)
+        made = [tuple(r.get(f.name) for f in layout.fields) for r in rows]
+        nullable = "CUSTID" if name == "cmstfl" else None
+        layout.fields = [type(f)(f.name, f.dataType, f.nullable or f.name == nullable) for f in layout.fields]
+        spark.createDataFrame(made, layout).coalesce(1).write.parquet(f"{landing[name]}/{load}")
+
+    land(1, "cmstfl", contracts.MASTER, [{"CUSTID": 1}, {"CUSTID": None}])
+    land(1, "blncfl", contracts.BALANCES, [{"CUSTID": 1}])
+    land(1, "trxpfl", contracts.TRANSACTIONS, [{"TRXID": 1, "CUSTID": 1, "TRXTYP": "CATM", "TRXAMT": 5.0}])
+    reports = []
+    for load in (1, 1, 2):
+        if load == 2:
+            land(2, "trxpfl", contracts.TRANSACTIONS, [{"TRXID": 2, "CUSTID": 1, "TRXTYP": "CATM", "TRXAMT": 7.0}])
+        ingest_bronze(spark, landing, root, AT)
+        reports.append({})
+        tables = refresh_all(spark, root, report=reports[-1])
+    assert [r["fact_batches_written"] for r in reports] == [1, 0, 1]
+    assert reports[0]["clientes_saldos_consolidados"] == 1
+    facts = tables["transacciones_enriquecidas"].collect()
+    assert sorted(r.identificador_transaccion for r in facts) == [1, 2]
+    summary = tables["resumen_integral_cliente"].collect()
+    assert [r.promedio_monto_depositos_atm for r in summary] == [6.0]
+
+

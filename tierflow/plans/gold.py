@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierflow.operators.aggregate import Metric, conditional_aggs
@@ -40,13 +40,20 @@ def atm_metrics(money_scale: int | None = None) -> list[Metric]:
     ]
 
 
-def atm_behaviour(transactions: DataFrame, money_scale: int | None = None) -> DataFrame:
-    """One row per customer found in the transactions; the null customer is dropped."""
+def atm_behaviour(
+    transactions: DataFrame, money_scale: int | None = None, dropped: Observation | None = None
+) -> DataFrame:
+    """One row per customer found in the transactions; the null customer is dropped.
+
+    With an observation, dropped rows are counted.
+    """
     grouped = conditional_aggs(
         transactions, ["identificador_cliente"], atm_metrics(money_scale)
     )
     return lead_with(
-        expect(grouped, "cliente_identificado", "identificador_cliente IS NOT NULL"),
+        expect(
+            grouped, "cliente_identificado", "identificador_cliente IS NOT NULL", observation=dropped
+        ),
         contracts.CLUSTERING["comportamiento_atm_cliente"],
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierflow.functions import fingerprint, gap, net_of, pct_of, total
@@ -38,7 +38,10 @@ def customer_classes(as_of: datetime.date | None = None) -> dict[str, Column]:
 
 
 def customer_dimension(
-    master: DataFrame, balances: DataFrame, as_of: datetime.date | None = None
+    master: DataFrame,
+    balances: DataFrame,
+    as_of: datetime.date | None = None,
+    dropped: Observation | None = None,
 ) -> DataFrame:
     """Newest master row per customer with its newest balance row, classified.
 
@@ -46,13 +49,13 @@ def customer_dimension(
     ingest share their timestamp: the record's own update date decides between them,
     then the other columns, so that the choice does not depend on the file order. (They
     are plain sort columns: a hash over all of them would multiply the optimizer's
-    alias constraints when they are renamed.)
+    alias constraints when they are renamed.) With an observation, dropped rows are counted.
     """
     people = _newest(master, contracts.MASTER, "LSTUPD", "master")
     accounts = _newest(balances, contracts.BALANCES, "UPDDT", "balances", keep_key="_account_key")
     joined = dim_left_join(people, accounts, "identificador_cliente", "_account_key")
     wide = joined.withColumns(customer_classes(as_of))
-    checked = expect(wide, "cliente_identificado", "identificador_cliente IS NOT NULL")
+    checked = expect(wide, "cliente_identificado", "identificador_cliente IS NOT NULL", observation=dropped)
     return lead_with(checked, contracts.CLUSTERING["clientes_saldos_consolidados"])
 
 

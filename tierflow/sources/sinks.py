@@ -36,20 +36,28 @@ def files_for(total_bytes: int, target_bytes: int = 256 << 20) -> int:
     return max(1, math.ceil(total_bytes / target_bytes))
 
 
+#: Ranges per clustered write, at most. More files than that are left to the writer and
+#: to later compaction; more ranges would be bounded by too few sampled rows each.
+MAX_RANGES = 4096
+
+
 def cluster_rows(
-    df: DataFrame, columns: Sequence[str], partitions: int | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    partitions: int | None = None,
+    salt: Sequence[str] | None = None,
 ) -> DataFrame:
     """Range-partition and sort on the clustering columns, so file and row-group
     min/max ranges barely overlap and filters on them skip data.
 
-    A hash of the row and then the input partition id extend the range key: a value
-    that fills a large share of the table, even as copies of one row, is cut over
-    neighbouring files instead of filling one. Both are the same when a task is rerun.
-    Without `partitions` adaptive execution merges the ranges up to its advisory size.
+    A hash of the `salt` columns (a key of the table; by default of the whole row) and
+    then the input partition id extend the range key: a value that fills a large share of
+    the table, even as copies of one row, is cut over neighbouring files instead of
+    filling one. Both are the same when a task is rerun. Without `partitions` adaptive execution merges the ranges up to its advisory size.
     """
     ordered = lead_with(df, columns)
-    salts = [F.xxhash64(*df.columns), F.spark_partition_id()]
-    count = [] if partitions is None else [partitions]
+    salts = [F.xxhash64(*(salt or df.columns)), F.spark_partition_id()]
+    count = [] if partitions is None else [min(partitions, MAX_RANGES)]
     return ordered.repartitionByRange(*count, *columns, *salts).sortWithinPartitions(*columns)
 
 

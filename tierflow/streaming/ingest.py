@@ -15,7 +15,7 @@ import datetime
 import functools
 import json
 import re
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -205,14 +205,23 @@ def ingest_files(
     start_ingest(spark, source, table, checkpoint, **options).awaitTermination()
 
 
+def committed_batches(spark: SparkSession, table: str, flow: str = "main") -> list[int]:
+    """Numbers of the batches that a flow has landed in full."""
+    return storage.committed(spark, f"{table}/flow={flow}", "batch_id")
+
+
 def read_ingested(
-    spark: SparkSession, table: str, flows: Sequence[str] = ("main",), lead: Sequence[str] = (INGESTED,)
+    spark: SparkSession,
+    table: str,
+    flows: Sequence[str] = ("main",),
+    lead: Sequence[str] = (INGESTED,),
+    batches: Collection[int] | None = None,
 ) -> DataFrame:
     """The committed history; columns that a batch did not have yet are null in its rows.
 
     Batches without a commit mark are not read. Each flow is read with its own types; the
     first flow that has a column gives its type, and values of other flows that do not fit
-    it are rescued.
+    it are rescued. With `batches` only those are read.
     """
     known = {flow: stored_schema(spark, table, flow) for flow in flows}
     schema = T.StructType([])
@@ -222,13 +231,14 @@ def read_ingested(
     parts = []
     for flow, own in known.items():
         root = f"{table}/flow={flow}"
-        batches = [f"{root}/batch_id={n}" for n in storage.committed(spark, root, "batch_id")]
-        if not batches or own is None:
+        landed = committed_batches(spark, table, flow)
+        paths = [f"{root}/batch_id={n}" for n in landed if batches is None or n in batches]
+        if not paths or own is None:
             continue
         types = {f.name: f.dataType for f in own.fields}
         agree = all(types.get(f.name, f.dataType) == f.dataType for f in schema.fields)
         layout = full if agree else T.StructType([*own.fields, *_ADDED.fields])
-        rows = spark.read.schema(layout).parquet(*batches)
+        rows = spark.read.schema(layout).parquet(*paths)
         parts.append(rows if agree else _refit(rows, schema))
     rows = union_all_by_name(parts) if parts else spark.createDataFrame([], full)
     return lead_with(rows, [c for c in lead if c in full.names])
