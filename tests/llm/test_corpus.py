@@ -171,6 +171,21 @@ def test_components_of_a_chain_and_a_star(spark):
     }
 
 
+def test_empty_tables_and_clashing_names(docs, empty):
+    assert byte_shards(empty).count() == 0
+    assert exact_dedup.exact_duplicates(empty).count() == 0
+    assert exact_dedup.drop_exact_duplicates(empty).count() == 0
+    assert jaccard_join(empty)[0].count() == 0
+    assert pack_documents(empty, RANKS, PATTERN).count() == 0
+    names = {"digest": "_row", "rank": "_text", "lang": "dropped"}
+    odd = docs.withColumnsRenamed(names)
+    assert mixed(odd, docs.select(F.col("doc_id").alias("id"), F.lit("a").alias("domain")), {"a": 1}).columns == odd.columns
+    assert with_surrogates(odd, "key").columns == [*odd.columns, "n_entities"]
+    assert exact_dedup.drop_exact_duplicates(odd).columns == odd.columns
+    decided, _ = jaccard_join(odd)
+    assert keep_one_per_component(odd, decided).columns == odd.columns
+
+
 # secrets
 
 
@@ -260,8 +275,8 @@ def test_language(spark, docs, empty):
     assert odd[3].lang_pred == odd[4].lang_pred == UNDECIDED and odd[3].rejected
     assert predict_language(docs, {}).filter("not rejected").count() == 0
     assert learn_dictionaries(empty) == {}
-    with pytest.raises(ValueError):
-        predict_language(docs.withColumnRenamed("rank", "Score"), learned)
+    clash = predict_language(docs.withColumnRenamed("rank", "Score"), learned)
+    assert clash.columns[-3:] == ["lang_pred", "_score", "rejected"] and clash.count() == len(AWKWARD)
 
 
 # mixing

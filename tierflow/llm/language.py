@@ -135,11 +135,12 @@ def predict_language(
     (0 to 1) is the saving against the second best, as a share of its size. A prediction
     is rejected when it has no language or when the score is below `min_margin`. Null
     texts and texts without letters get `und` and score 0, as do all texts when nothing
-    was learned. All columns stay; a name that is taken already is an error.
+    was learned. All columns stay; a new column whose name is taken gets underscores in
+    front of it.
     """
-    for name in (lang_name, score_name, rejected_name):
-        if free_name(docs.columns, name) != name:
-            raise ValueError(f"the column {name} exists already")
+    lang_name, score_name, rejected_name = (
+        free_name(docs.columns, name) for name in (lang_name, score_name, rejected_name)
+    )
     model = tuple(dictionaries.items())
     at = docs.columns.index(text_col)
     added = pa.schema(

@@ -287,18 +287,23 @@ def mixed(
 ) -> DataFrame:
     """The documents at their rates: a row with rate 1.3 comes once, or twice in 3 of 10 cases.
 
-    All columns stay (names that begin with an underscore and clash are an error). The
-    draw is fixed by the row, so equal rows are treated alike on every run.
+    All columns stay, whatever their names. The draw is fixed by the row, so equal rows
+    are treated alike on every run.
     """
     model = fit_membership(docs, labelled, list(weights), id_col, text_col)
-    digest = row_digest(docs)
-    placed = model.add_to(docs, text_col)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        row_digest(docs).alias("_digest"),
+        F.col(text_col).alias("_raw"),
+    )
+    placed = model.add_to(rows, "_raw")
     steps = fit_rates(stored(placed.select("_tokens", "_posterior"), "mix-members"), weights, anchor)
-    draw = F.pmod(F.xxhash64(F.lit("mixing draw"), digest), F.lit(1 << 53)) / F.lit(1 << 53)
+    grain = F.lit(1 << 53)
+    draw = F.pmod(F.xxhash64(F.lit("mixing draw"), F.col("_digest")), grain) / grain
     # The number is never below 0. It keeps the filter from moving below the classifier,
     # where the optimizer would repeat the whole classifier inside the predicate.
     fence = (F.monotonically_increasing_id() < 0).cast("int")
     times = F.floor(_folded(steps, F.col("_posterior")) + draw).cast("int") + fence
     repeated = placed.withColumn("_times", times).filter("_times > 0")
     copies = repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return copies.select(*docs.columns)
+    return copies.select("_row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import stored
+from tierflow.llm.common import free_name, stored
 
 # Forms of address by gender.
 TITLES = {
@@ -196,7 +196,10 @@ def draws(found: DataFrame, key: str) -> DataFrame:
     alphabetical order keeps it, the others draw again, until nothing clashes.
     """
     originals = stored(found.select("kind", "norm").distinct(), "pii-entities")
-    named = lambda df: df.withColumn("core", surrogate(F.col("kind"), F.col("norm"), F.col("draw"), key))
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumn("core", surrogate(F.col("kind"), F.col("norm"), F.col("draw"), key))
+
     state = stored(named(originals.withColumn("draw", F.lit(0))), "pii-draws")
     taken = originals.select("kind", F.col("norm").alias("core"))
     for _ in range(MAX_DRAWS):
@@ -229,20 +232,22 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFr
     in one pass without a shuffle. Equal entities combine on the map side before they are
     compared, so a hot one costs one row per task.
 
-    Null texts stay null; rows may repeat; other columns stay. An empty table gives no
-    rows. A column called n_entities, or one of the names that begin with an underscore
-    used here, is an error.
+    Null texts stay null; rows may repeat; other columns stay, whatever their names. If
+    n_entities is taken, the number's name gets underscores. An empty table gives no rows.
     """
-    clash = {"n_entities", "_gaps", "_found", "_hits", "_key", "_redrawn"} & {c.lower() for c in docs.columns}
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
-    cut = with_entities(docs, text_col)
-    exploded = with_entities(docs.select(text_col), text_col).select(
-        F.xxhash64(text_col).alias("_key"), F.explode("_found").alias("e")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).alias("_raw")
+    )
+    cut = with_entities(rows, "_raw")
+    exploded = with_entities(rows.select("_raw"), "_raw").select(
+        F.xxhash64("_raw").alias("_key"), F.explode("_found").alias("e")
     )
     exploded = stored(exploded.select("_key", "e.kind", "e.norm").distinct(), "pii-found")
     redrawn = stored(draws(exploded, key), "pii-redrawn")
-    name = lambda kind, norm: F.concat_ws("|", kind, norm)
+
+    def name(kind: Column, norm: Column) -> Column:
+        return F.concat_ws("|", kind, norm)
+
     if redrawn.isEmpty():
         known = cut.withColumn("_redrawn", F.create_map().cast("map<string,int>"))
     else:
@@ -252,12 +257,11 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFr
             .groupBy("_key")
             .agg(F.map_from_entries(F.collect_set("entry")).alias("_redrawn"))
         )
-        known = cut.withColumn("_key", F.xxhash64(text_col)).join(maps, "_key", "left").drop("_key")
+        known = cut.withColumn("_key", F.xxhash64("_raw")).join(maps, "_key", "left")
 
     def replaced(e: Column) -> Column:
         again = F.coalesce(F.element_at("_redrawn", name(e["kind"], e["norm"])), F.lit(0))
-        core = surrogate(e["kind"], e["norm"], F.coalesce(again, F.lit(0)), key)
-        return _formatted(e["kind"], e["hit"], core)
+        return _formatted(e["kind"], e["hit"], surrogate(e["kind"], e["norm"], again, key))
 
     new = F.array_join(
         F.flatten(
@@ -269,9 +273,13 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFr
         ),
         "",
     )
+    old = [F.col("_row")[c] for c in docs.columns]
     return known.select(
-        *[F.when(F.col(c).isNotNull(), new).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-        F.size("_found").cast("bigint").alias("n_entities"),
+        *[
+            (F.when(F.col("_raw").isNotNull(), new) if c == text_col else value).alias(c)
+            for c, value in zip(docs.columns, old, strict=True)
+        ],
+        F.size("_found").cast("bigint").alias(free_name(docs.columns, "n_entities")),
     )
 
 
