@@ -6,23 +6,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import shuffle_partitions, stored
+from tierflow.llm.common import free_name, shuffle_partitions, stored
 from tierflow.llm.components import components
 from tierflow.llm.shingles import overlap, packed, set_digest, shingle_set, unpacked
 
-#: Shingles in more documents than HEAVY have long inverted lists; the HEAVY_KEYS most
-#: frequent at most are told apart by frequency (12 bytes each go to every task).
-HEAVY, HEAVY_KEYS = 32, 1 << 18
+#: Shingles in more documents than HEAVY are told apart by frequency, the HEAVY_KEYS most
+#: frequent at most (12 bytes each go to every task).
+HEAVY, HEAVY_KEYS = 2, 1 << 20
 #: Matches asked for among the short lists, so that chance matches do not become candidates.
 MATCHES = 4
 #: Lists longer than SHORT_LIST are first joined to one member; lists longer than BLOCK
 #: are cut into blocks of about that many documents.
 SHORT_LIST, BLOCK = 8, 4096
 #: Shingles that a task holds before it hands on what it has gathered.
-FLUSH = 4_000_000
+FLUSH = 2_000_000
+#: Rounds in which members outside a list's largest component meet only one inside it.
+ROUNDS = 2
 
 
 def required(size, percent: int):
@@ -157,7 +159,7 @@ def frequent_keys(texts: DataFrame, width: int, bits: int) -> tuple[np.ndarray,
     rows = found.filter(level >= least).toArrow().sort_by("key")
     return (
         rows.column("key").to_numpy().astype(np.uint64),
-        rows.column("n").to_numpy().astype(np.int64),
+        rows.column("n").to_numpy().astype(np.uint32),
     )
 
 
@@ -171,7 +173,7 @@ def _postings(width: int, bits: int, percent: int, heavy: tuple[np.ndarray, np.n
         wanted = shingles >> np.uint64(32 - bits)
         at = np.searchsorted(keys, wanted)
         at[at == len(keys)] = 0
-        return np.where(keys[at] == wanted, counts[at], 0)
+        return np.where(keys[at] == wanted, counts[at], 0).astype(np.int64)
 
     def rows(found: list[tuple[np.ndarray, np.ndarray, int, int]]) -> pa.RecordBatch:
         lengths = [len(f[0]) for f in found]
@@ -209,7 +211,7 @@ def _postings(width: int, bits: int, percent: int, heavy: tuple[np.ndarray, np.n
                 order = np.lexsort((shingles, freq))[:many]
                 found.append((shingles[order], freq[order], entity_of(digest), size))
                 held += many
-                if held >= FLUSH // 4:
+                if held >= FLUSH // 2:
                     yield rows(found)
                     found, held, seen = [], 0, set()
         if found:
@@ -310,8 +312,10 @@ def jaccard_join(
 
     Groups of thousands of near copies would fill each list with pairs of one group. So
     members of lists beyond SHORT_LIST are first compared with the list's lead alone (and
-    leads of blocks with each other); components are formed; after that only pairs from
-    different components become candidates, which loses no link between components.
+    leads of blocks with each other); components are formed, and in ROUNDS more turns
+    members outside a list's largest component are compared with one inside it. After
+    that only pairs from different components become candidates, and all of those do,
+    which loses no link between components.
 
     Null or empty texts have no shingles and link with nothing. Rows that share an id are
     one document. Rows without an id stay in the result, in the component of an equal set
@@ -372,6 +376,11 @@ def jaccard_join(
     texts_of = _fetch(texts, first, nodes, width, kind)
     links = _links(first, texts_of, width, percent)
     parts = components(links, "x", "y")
+    for turn in range(ROUNDS):
+        pairs = stored(_inward(members, parts, percent, turn), "join-inward")
+        found = _links(pairs, _fetch(texts, pairs, nodes, width, kind), width, percent)
+        links = stored(links.unionByName(found), "join-inward-links")
+        parts = components(links, "x", "y")
     rest = stored(_across(members, parts, percent), "join-across")
     more = _links(rest, _fetch(texts, rest, nodes, width, kind), width, percent)
     links = stored(links.unionByName(more), "join-all-links")
@@ -401,13 +410,8 @@ def _fetch(texts: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, kin
     return stored(once.select(F.col("doc_id").alias("node"), "text"), "join-texts")
 
 
-def _across(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs from different components that meet often enough in the merged lists.
-
-    In each list all components but the largest are the minority. Minority members go to
-    every block of their list and meet all members of other components there, so a list
-    that one component fills costs nothing, and a long list is spread over its blocks.
-    """
+def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Lists with several components: members with their component and the largest one."""
     known = members.join(parts, "node", "left").withColumn("c", F.coalesce("component", "node"))
     known = known.select("h", "node", "n", "block", "blocks", "c")
     per_list = known.groupBy("h", "c").agg(F.count(F.lit(1)).alias("k"))
@@ -415,32 +419,97 @@ def _across(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
         per_list.groupBy("h")
         .agg(F.max(F.struct("k", "c")).alias("largest"), F.count(F.lit(1)).alias("parts"))
         .filter("parts > 1")
-        .select("h", F.col("largest.c").alias("major"))
+        .select("h", F.col("largest.c").alias("major"), F.col("largest.k").alias("size"))
     )
-    marked = stored(known.join(mixed, "h"), "join-mixed")
+    return stored(known.join(mixed, "h"), "join-mixed")
+
+
+def _inward(members: DataFrame, parts: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Members of long lists outside the largest component, each with one member inside it."""
+    marked = _mixed(members, parts).filter(F.col("size") >= SHORT_LIST)
+    draw = F.struct(F.xxhash64("node", F.lit(turn)), "node", "n")
+    inside = F.col("c") == F.col("major")
+    chosen = marked.filter(inside).groupBy("h").agg(F.min(draw).alias("one"))
+    return (
+        marked.filter(~inside)
+        .select("h", "node", "n")
+        .join(chosen, "h")
+        .filter(_similar_sizes("n", "one.n", percent))
+        .select(F.col("node").alias("x"), F.col("one.node").alias("y"))
+        .distinct()
+    )
+
+
+def _across(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Pairs from different components that meet often enough in the merged lists.
+
+    In each list all components but the largest are the minority. Minority members go to
+    every block of their list and meet all members of other components there, so a list
+    that one component fills costs nothing, and a long list is spread over its blocks.
+
+    A list is sent to its minority members as one row, and each of them merges the lists it
+    has got. Sets of sizes n and m that link share at least alpha = ceil(percent (n + m) / (100 +
+    percent)) shingles. The shared ones outside both merged prefixes lie beyond one of
+    the two, so at least alpha minus the longer remainder meet inside.
+    """
+    marked = _mixed(members, parts)
+    # A node in fewer mixed lists than a partner asks for cannot be its partner.
+    degree = marked.groupBy("node").agg(F.count(F.lit(1)).alias("lists"))
+    marked = stored(marked.join(degree, "node").filter(F.col("lists") >= F.least(
+        F.lit(MATCHES), required_col("n", percent)
+    )), "join-lists-mixed")
     few = marked.filter(F.col("c") != F.col("major")).select(
         "h",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"),
         F.col("node").alias("x"),
         F.col("n").alias("nx"),
         F.col("c").alias("cx"),
+        F.col("lists").alias("lx"),
     )
-    # Two members of the minority meet twice; the pair with the smaller first counts.
-    once = (F.col("c") == F.col("major")) | (F.col("x") < F.col("node"))
-    least = F.least(
-        F.lit(MATCHES), required_col("nx", percent), required_col("n", percent)
-    )
-    return (
-        few.join(marked, ["h", "block"])
-        .filter((F.col("c") != F.col("cx")) & once & _similar_sizes("nx", "n", percent))
-        .select(
-            F.least("x", "node").alias("x"), F.greatest("x", "node").alias("y"), least.alias("least")
-        )
-        .groupBy("x", "y")
-        .agg(F.count(F.lit(1)).alias("met"), F.max("least").alias("least"))
-        .filter("met >= least")
-        .select("x", "y")
+    entry = F.struct("node", "n", "c", "lists", (F.col("c") == F.col("major")).alias("major"))
+    lists = marked.groupBy("h", "block").agg(F.collect_list(entry).alias("entries"))
+
+    def possible(y: Column) -> Column:
+        # Two members of the minority meet twice; the pair with the smaller first counts.
+        once = y["major"] | (F.col("x") < y["node"])
+        similar = 100 * F.least("nx", y["n"]) >= percent * F.greatest("nx", y["n"])
+        asked = least_meetings(F.col("nx"), y["n"], percent)
+        return (y["c"] != F.col("cx")) & once & similar & (asked <= F.least("lx", y["lists"]))
+
+    met = (
+        few.join(lists, ["h", "block"])
+        .withColumn("found", F.filter("entries", possible))
+        .filter(F.size("found") > 0)
+        .select("x", "nx", F.col("found.node").alias("y"), F.col("found.n").alias("ny"))
     )
+    kind = dict(members.dtypes)["node"]
+    return met.groupBy("x").applyInArrow(_merged(percent), f"x {kind}, y {kind}")
+
+
+def least_meetings(n, m, percent: int):
+    """How often two sets of these sizes that link meet in the merged lists, at least."""
+    if isinstance(n, Column):
+        alpha = F.floor((percent * (n + m) + 99 + percent) / (100 + percent))
+        tail = [F.floor((percent * s + 99) / 100) for s in (n, m)]
+        return alpha - F.greatest(*[t - F.least(F.lit(MATCHES), t) for t in tail])
+    alpha = (percent * (n + m) + 99 + percent) // (100 + percent)
+    tail = [required(s, percent) for s in (n, m)]
+    return alpha - np.maximum(*[t - np.minimum(MATCHES, t) for t in tail])
+
+
+def _merged(percent: int):
+    """The inverted lists of one entity merged: partners that occur often enough in them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x, n = table.column("x")[0].as_py(), table.column("nx")[0].as_py()
+        y = table.column("y").combine_chunks().flatten().to_numpy()
+        sizes = table.column("ny").combine_chunks().flatten().to_numpy()
+        nodes, first, met = np.unique(y, return_index=True, return_counts=True)
+        good = met >= least_meetings(n, sizes[first], percent)
+        low, high = np.minimum(nodes[good], x), np.maximum(nodes[good], x)
+        return pa.table({"x": low, "y": high})
+
+    return run
 
 
 def required_col(size: str, percent: int):
@@ -449,5 +518,6 @@ def required_col(size: str, percent: int):
 
 def keep_one_per_component(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Documents that stand for their component; only the dropped ids are looked up."""
-    dropped = decided.filter("component_id <> doc_id").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(dropped.distinct(), F.col(id_col) == F.col("_dropped"), "left_anti")
+    key = free_name(docs.columns, "dropped")
+    dropped = decided.filter("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(dropped, F.col(id_col) == F.col(key), "left_anti")
