@@ -23,6 +23,8 @@ MATCHES = 4
 SHORT_LIST, BLOCK = 8, 4096
 #: Shingles that a task holds before it hands on what it has gathered.
 FLUSH = 2_000_000
+#: Texts that are fetched by sending their ids to every task (about 50 bytes each).
+MAX_BROADCAST = 300_000
 #: Rounds in which members outside a list's largest component meet only one inside it.
 ROUNDS = 2
 
@@ -400,7 +402,12 @@ def jaccard_join(
 def _fetch(texts: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, kind: str) -> DataFrame:
     """One text for every node of the pairs, with the set that the node stands for."""
     wanted = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-    wanted = wanted.join(nodes, "node").select(F.col("node").alias("doc_id"), F.col("digest").alias("set"))
+    wanted = stored(
+        wanted.join(nodes, "node").select(F.col("node").alias("doc_id"), F.col("digest").alias("set")),
+        "join-wanted",
+    )
+    # Few enough texts are picked out where they stand; otherwise both sides are shuffled.
+    wanted = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST else wanted
     found = texts.join(wanted.select("doc_id"), "doc_id", "left_semi")
     profiled = found.select("doc_id", "text").mapInArrow(
         _profile(width, keep_text=True), _profile_schema(kind) + ", text string"
