@@ -29,11 +29,11 @@ def _chunk_hash(chunk: Column, hash_bits: int) -> Column:
     return digest if hash_bits >= 64 else digest.bitwiseAND(F.lit((1 << hash_bits) - 1))
 
 
-def _ambiguous(rows: DataFrame, hash_bits: int) -> DataFrame:
+def _ambiguous(rows: DataFrame, hash_bits: int) -> DataFrame | None:
     """Chunks whose hash stands for several contents, each with its number there.
 
     Equal chunks combine on the map side, so each moves about once per task, whatever
-    the number of copies. Normally nothing is left.
+    the number of copies. None where every hash stands for one content, as is normal.
     """
     distinct = (
         rows.select(F.explode(chunks(F.col("norm"))).alias("chunk"))
@@ -41,8 +41,11 @@ def _ambiguous(rows: DataFrame, hash_bits: int) -> DataFrame:
         .groupBy("h", "chunk")
         .agg(F.count(F.lit(1)).alias("uses"))
     )
-    shared = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    return distinct.join(shared, "h").select("h", "chunk")
+    repeated = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    shared = stored(repeated, "dedup-shared")
+    if shared.isEmpty():
+        return None
+    return stored(distinct.join(shared, "h").select("h", "chunk"), "dedup-clashes")
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_bits: int = 64):
@@ -59,7 +62,7 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", has
         F.coalesce(F.length(text_col), F.lit(0)).alias("n_chars"),
         row_digest(docs).alias("digest"),
     )
-    clashes = stored(_ambiguous(rows, hash_bits), "dedup-clashes")
+    clashes = _ambiguous(rows, hash_bits)
     recipe = F.transform(F.col("pieces"), lambda c: _chunk_hash(c, hash_bits))
     facts = rows.select(
         "doc_id",
@@ -69,7 +72,7 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", has
         chunks(F.col("norm")).alias("pieces"),
         F.monotonically_increasing_id().alias("tag"),
     )
-    if clashes.isEmpty():
+    if clashes is None:
         variants = F.array().cast("array<string>")
         return stored(
             facts.select("*", recipe.alias("recipe"), variants.alias("variants")).drop("pieces"),
