@@ -163,6 +163,28 @@ def test_join_of_a_large_group_near_the_threshold(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == wanted
 
 
+def test_join_of_families_with_one_link_at_the_threshold(spark):
+    """Lists shared by two families, whose larger part is now the one and now the other."""
+    rows, wanted = [], {}
+    for seed in range(16):
+        rng = np.random.default_rng(seed)
+        one = [f"s{seed}w{k}" for k in range(300)]
+        spots = np.arange(10, 290, 25)[:11]
+        other = [f"{w}b" if k in spots else w for k, w in enumerate(one)]
+        family = [[f"{w}b" if k in spots[:5] else w for k, w in enumerate(one)], other]
+        for base in (one, other):
+            for j in range(20):
+                words = list(base)
+                words[rng.choice(np.setdiff1d(np.arange(4, 296), spots))] += f"m{j}{base[10][-1]}"
+                family.append(words)
+        part = [(1000 * seed + k, " ".join(family[i])) for k, i in enumerate(rng.permutation(len(family)))]
+        rows += part
+        wanted |= brute_join(part, 4, 85)[0]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found, _ = jaccard_join(df, width=4, percent=85)
+    assert {r.doc_id: r.component_id for r in found.collect()} == wanted
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)]
     found = components(spark.createDataFrame(links, "x bigint, y bigint"), "x", "y").collect()

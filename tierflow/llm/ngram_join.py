@@ -455,13 +455,20 @@ def _across(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     that one component fills costs nothing, and a long list is spread over its blocks.
 
     A list is sent to its minority members as one row, and each of them merges the lists it
-    has got. Sets of sizes n and m that link share at least alpha = ceil(percent (n + m) / (100 +
+    has got. A pair can meet on both its sides: in lists where one end is in the minority,
+    and in lists where the other is. So the meetings of each side are partial counts, added
+    up per pair before they are compared with what the sizes demand. A partial count is
+    dropped only if it stays too small with all lists that the other side can add: those in
+    which this end is in the largest component and the other one is not.
+
+    Sets of sizes n and m that link share at least alpha = ceil(percent (n + m) / (100 +
     percent)) shingles. The shared ones outside both merged prefixes lie beyond one of
     the two, so at least alpha minus the longer remainder meet inside.
     """
     marked = _mixed(members, parts)
     # A node in fewer mixed lists than a partner asks for cannot be its partner.
-    degree = marked.groupBy("node").agg(F.count(F.lit(1)).alias("lists"))
+    minor = F.count(F.when(F.col("c") != F.col("major"), 1))
+    degree = marked.groupBy("node").agg(F.count(F.lit(1)).alias("lists"), minor.alias("minor"))
     marked = stored(marked.join(degree, "node").filter(F.col("lists") >= F.least(
         F.lit(MATCHES), required_col("n", percent)
     )), "join-lists-mixed")
@@ -472,8 +479,10 @@ def _across(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
         F.col("n").alias("nx"),
         F.col("c").alias("cx"),
         F.col("lists").alias("lx"),
+        (F.col("lists") - F.col("minor")).alias("inner"),
     )
-    entry = F.struct("node", "n", "c", "lists", (F.col("c") == F.col("major")).alias("major"))
+    inside = (F.col("c") == F.col("major")).alias("major")
+    entry = F.struct("node", "n", "c", "lists", "minor", inside)
     lists = marked.groupBy("h", "block").agg(F.collect_list(entry).alias("entries"))
 
     def possible(y: Column) -> Column:
@@ -487,10 +496,21 @@ def _across(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
         few.join(lists, ["h", "block"])
         .withColumn("found", F.filter("entries", possible))
         .filter(F.size("found") > 0)
-        .select("x", "nx", F.col("found.node").alias("y"), F.col("found.n").alias("ny"))
+        .select(
+            "x",
+            "nx",
+            "inner",
+            F.col("found.node").alias("y"),
+            F.col("found.n").alias("ny"),
+            F.col("found.minor").alias("my"),
+        )
     )
     kind = dict(members.dtypes)["node"]
-    return met.groupBy("x").applyInArrow(_merged(percent), f"x {kind}, y {kind}")
+    sides = met.groupBy("x").applyInArrow(
+        _merged(percent), f"x {kind}, y {kind}, met bigint, asked bigint"
+    )
+    summed = sides.groupBy("x", "y").agg(F.sum("met").alias("met"), F.min("asked").alias("asked"))
+    return summed.filter("met >= asked").select("x", "y")
 
 
 def least_meetings(n, m, percent: int):
@@ -505,16 +525,22 @@ def least_meetings(n, m, percent: int):
 
 
 def _merged(percent: int):
-    """The inverted lists of one entity merged: partners that occur often enough in them."""
+    """The inverted lists of one entity merged: how often the partners occur in them.
+
+    Partners that the other side cannot lift to the meetings asked for are left out.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         x, n = table.column("x")[0].as_py(), table.column("nx")[0].as_py()
         y = table.column("y").combine_chunks().flatten().to_numpy()
         sizes = table.column("ny").combine_chunks().flatten().to_numpy()
+        others = table.column("my").combine_chunks().flatten().to_numpy()
         nodes, first, met = np.unique(y, return_index=True, return_counts=True)
-        good = met >= least_meetings(n, sizes[first], percent)
+        asked = least_meetings(n, sizes[first], percent)
+        more = np.minimum(others[first], table.column("inner")[0].as_py())
+        good = met + more >= asked
         low, high = np.minimum(nodes[good], x), np.maximum(nodes[good], x)
-        return pa.table({"x": low, "y": high})
+        return pa.table({"x": low, "y": high, "met": met[good], "asked": asked[good]})
 
     return run
 
