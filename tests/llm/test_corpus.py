@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow.llm import exact_dedup, packing, secrets
+from tierflow.llm import exact_dedup, packing, secrets, vector_graph
 from tierflow.llm.components import components
 from tierflow.llm.language import UNDECIDED, learn_dictionaries, predict_language
 from tierflow.llm.mixing import mixed, mixing_rates
@@ -418,6 +418,27 @@ def test_vectors_against_brute_force(spark):
     assert near_duplicate_vectors(df.limit(0))[0].count() == 0
 
 
+def test_vectors_of_a_hot_group_that_many_centres_cut_up(spark, monkeypatch):
+    """Near copies in different cells; overlap alone leaves most of their pairs out."""
+    monkeypatch.setattr(vector_graph, "CLUSTER", 8)
+    draw = np.random.default_rng(5)
+    base, vectors = draw.normal(size=64), draw.normal(size=(1600, 64))
+    vectors[::3] = base + draw.normal(size=(len(vectors[::3]), 64)) * 0.24
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    found, recall = near_duplicate_vectors(df, threshold=0.9, overlap=5)
+    got = {r.vec_id: r for r in found.collect()}
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    close = units @ units.T >= 0.9
+    assert [got[k].n_links for k in range(len(rows))] == (close.sum(axis=1) - 1).tolist()
+    assert recall == 1.0
+    parts = components(
+        spark.createDataFrame(np.argwhere(close).tolist(), "x bigint, y bigint"), "x", "y"
+    )
+    wanted = {r.node: r.component for r in parts.collect()}
+    assert all(r.component_id == wanted.get(k, k) for k, r in got.items())
+
+
 # queries
 
 

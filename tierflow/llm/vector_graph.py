@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import stored
@@ -200,8 +200,8 @@ def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     )
 
 
-def _shards(nodes: DataFrame, count: int, overlap: int) -> DataFrame:
-    """Every vector once per shard that it belongs to, with the list of its shards."""
+def _centres(nodes: DataFrame, count: int) -> dict[int, np.ndarray]:
+    """Cluster centres for each length of vectors, from a bounded hash sample."""
     share = F.lit(int(min(1.0, SAMPLE / max(count, 1)) * (1 << 40)))
     drawn = nodes.filter(F.pmod(F.xxhash64("node", F.lit("centres")), F.lit(1 << 40)) < share)
     sample: dict[int, list] = {}
@@ -216,6 +216,12 @@ def _shards(nodes: DataFrame, count: int, overlap: int) -> DataFrame:
         rows = np.concatenate(parts)
         wanted = -(-count * len(rows) // (whole * CLUSTER))
         centres[dim] = fit_centres(rows, int(np.clip(wanted, 1, min(MAX_CENTRES, len(rows)))))
+    return centres
+
+
+def _shards(nodes: DataFrame, count: int, overlap: int) -> DataFrame:
+    """Every vector once per shard that it belongs to, with the list of its shards."""
+    centres = _centres(nodes, count)
     kinds = dict(nodes.dtypes)
     assigned = stored(
         nodes.mapInArrow(
@@ -268,14 +274,101 @@ def _linked(nodes: DataFrame, count: int, threshold: float, overlap: int) -> tup
     return stored(counts, "graph-counts"), parts
 
 
+def _angles(units: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(units @ centres.T, -1, 1))
+
+
+def _homes(centres: dict[int, np.ndarray]):
+    """Each vector with its nearest cluster and the angle to its centre."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims):
+                part = batch.filter(pa.array(dims == dim))
+                home, angle = np.zeros(part.num_rows, np.int64), np.full(part.num_rows, np.pi)
+                if dim in centres:
+                    angles = _angles(unit_rows(part.column("vector"), int(dim)), centres[dim])
+                    home = angles.argmin(axis=1)
+                    angle = angles[np.arange(len(home)), home]
+                columns = [*part.columns, pa.array(home, pa.int64()), pa.array(angle)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "home", "angle"])
+
+    return run
+
+
+def _visits(centres: dict[int, np.ndarray], radii: dict[int, dict[int, float]], threshold: float):
+    """Each vector with all clusters that can hold a vector within the threshold of it.
+
+    By the triangle inequality of angles these are the clusters whose centre is at most
+    their radius plus the threshold's angle away.
+    """
+    reach = np.arccos(np.clip(threshold, -1, 1)) + 1e-6
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims):
+                part = batch.filter(pa.array(dims == dim))
+                cells = [sorted(radii[int(dim)])] * part.num_rows
+                if dim in centres:
+                    used = np.array(cells[0])
+                    limits = np.array([radii[int(dim)][c] for c in cells[0]]) + reach
+                    angles = _angles(unit_rows(part.column("vector"), int(dim)), centres[dim][used])
+                    cells = [used[row].tolist() for row in angles <= limits]
+                lists = pa.array(cells, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "cells"])
+
+    return run
+
+
+def _compared(threshold: float):
+    """Links from the visitors of one block to its own vectors, and local components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        dim = table.column("dim")[0].as_py()
+        own = table.column("own").to_numpy()
+        nodes, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
+        units = unit_rows(table.column("vector").combine_chunks(), dim)
+        homes, visitors = np.flatnonzero(own), np.flatnonzero(~own)
+        close = np.zeros((len(visitors), len(homes)), bool)
+        for at in range(0, len(visitors), 512):
+            part = visitors[at : at + 512]
+            close[at : at + 512] = units[part] @ units[homes].T >= threshold
+            close[at : at + 512] &= nodes[part][:, None] != nodes[homes][None, :]
+        counts = np.array([copies[homes[row]].sum() for row in close], np.int64)
+        lead = nodes.copy()
+        left, right = counts > 0, close.any(axis=0)
+        for k in range(len(visitors)):
+            if not left[k]:
+                continue
+            front, group = np.array([k]), [visitors[[k]]]
+            left[k] = False
+            while len(front):
+                met = np.flatnonzero(close[front].any(axis=0) & right)
+                right[met] = False
+                front = np.flatnonzero(close[:, met].any(axis=1) & left)
+                left[front] = False
+                group += [homes[met], visitors[front]]
+            members = np.concatenate(group)
+            lead[members] = nodes[members].min()
+        n = np.zeros(len(nodes), np.int64)
+        n[visitors] = counts
+        return pa.table({"node": nodes, "n_links": n, "lead": lead})
+
+    return run
+
+
 def audited_recall(nodes: DataFrame, counts: DataFrame, count: int, threshold: float) -> float:
     """Found links over true links of a hash sample of AUDITED vectors, about.
 
-    The sample is compared with all vectors, block by block and in double precision.
+    The sample is compared with all vectors, block by block and in double precision. The
+    recall is the lower one of the share of all links and the mean share per vector.
     """
     share = F.lit(int(min(1.0, AUDITED / max(count, 1)) * (1 << 40)))
     drawn = nodes.filter(F.pmod(F.xxhash64("node", F.lit("audit")), F.lit(1 << 40)) < share)
     asked = drawn.join(counts, "node", "left").select("node", "dim", "vector", "linked").toArrow()
+    kind = dict(nodes.dtypes)["node"]
     queries = {}
     for dim in set(asked.column("dim").to_pylist()):
         part = asked.filter(pa.compute.equal(asked.column("dim"), dim))
@@ -285,7 +378,7 @@ def audited_recall(nodes: DataFrame, counts: DataFrame, count: int, threshold: f
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        true = 0
+        true = {dim: np.zeros(len(ids), np.int64) for dim, (ids, _) in queries.items()}
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
@@ -294,12 +387,76 @@ def audited_recall(nodes: DataFrame, counts: DataFrame, count: int, threshold: f
                     ids, units = queries[int(dim)]
                     close = unit_rows(part.column("vector"), int(dim)) @ units.T >= threshold
                     close &= part.column("node").to_numpy()[:, None] != ids[None, :]
-                    true += int((close * part.column("copies").to_numpy()[:, None]).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([true], pa.int64())], names=["n"])
+                    true[int(dim)] += part.column("copies").to_numpy() @ close
+        for dim, (ids, _) in queries.items():
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(true[dim])], names=["node", "n"])
+
+    counted = nodes.mapInArrow(run, f"node {kind}, n bigint").groupBy("node").agg(F.sum("n").alias("n"))
+    true = {r["node"]: r["n"] for r in counted.collect() if r["n"]}
+    pairs = zip(asked.column("node").to_pylist(), asked.column("linked").to_pylist(), strict=True)
+    found = {node: linked or 0 for node, linked in pairs if node in true}
+    if not true:
+        return 1.0
+    shares = [found[node] / n for node, n in true.items()]
+    return float(min(sum(found.values()) / sum(true.values()), np.mean(shares)))
+
+
+def _exactly_linked(nodes: DataFrame, count: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """All links, by comparing each cluster with every vector that can link into it.
+
+    A link is counted for each end in the home cluster of the other. Clusters and their
+    visitors are cut into blocks of about BLOCK vectors.
+    """
+    centres = _centres(nodes, count)
+    kinds = dict(nodes.dtypes)
+    kept = f"vector {kinds['vector']}, node {kinds['node']}, copies bigint, dim int"
+    at_home = stored(
+        nodes.select("vector", "node", "copies", "dim").mapInArrow(
+            _homes(centres), f"{kept}, home bigint, angle double"
+        ),
+        "exact-homes",
+    )
+    # One row per cluster: bounded by MAX_CENTRES for each length of vectors.
+    cells = at_home.groupBy("dim", F.col("home").alias("cell")).agg(
+        F.max("angle").alias("radius"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")
+    )
+    cells = stored(cells, "exact-cells")
+    radii: dict[int, dict[int, float]] = {}
+    for r in cells.collect():
+        radii.setdefault(r["dim"], {})[r["cell"]] = r["radius"]
+    guests = stored(
+        at_home.drop("home", "angle").mapInArrow(
+            _visits(centres, radii, threshold), f"{kept}, cells array<bigint>"
+        ),
+        "exact-visits",
+    )
+    visited = guests.select("dim", F.explode("cells").alias("cell")).groupBy("dim", "cell")
+    sizes = cells.select("dim", "cell", "blocks").join(
+        visited.agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("turns")), ["dim", "cell"]
+    )
+    sizes = F.broadcast(stored(sizes, "exact-sizes"))
+
+    def drawn(name: str) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit(name)), F.col(name))
 
-    true = nodes.mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
-    found = sum(x or 0 for x in asked.column("linked").to_pylist())
-    return found / true if true else 1.0
+    def every(name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(name) - 1))
+
+    columns = ["vector", "node", "copies", "dim", "cell"]
+    own = at_home.withColumnRenamed("home", "cell").join(sizes, ["dim", "cell"]).select(
+        *columns, drawn("blocks").alias("block"), every("turns").alias("turn"), F.lit(True).alias("own")
+    )
+    come = guests.withColumn("cell", F.explode("cells")).join(sizes, ["dim", "cell"]).select(
+        *columns, every("blocks").alias("block"), drawn("turns").alias("turn"), F.lit(False).alias("own")
+    )
+    found = stored(
+        own.unionByName(come).groupBy("dim", "cell", "block", "turn").applyInArrow(
+            _compared(threshold), f"node {kinds['node']}, n_links bigint, lead {kinds['node']}"
+        ),
+        "exact-links",
+    )
+    counts = found.groupBy("node").agg(F.sum("n_links").alias("linked"))
+    return stored(counts, "exact-counts"), components(found.select("node", "lead"), "node", "lead")
 
 
 def near_duplicate_vectors(
@@ -319,7 +476,9 @@ def near_duplicate_vectors(
     written out; only counts and local components leave a shard. Clusters beyond BLOCK
     vectors are searched as pairs of blocks, so none of their pairs is left out. All
     links are verified in double precision. If the recall of audited vectors, compared
-    with all others, is below RECALL, the index is built again with one more overlap.
+    with all others, is below RECALL, the index is built again with one more overlap. If
+    MAX_OVERLAP is not enough either, as when many centres cut up a group of near copies,
+    all links are found by exact comparison.
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing,
     and so do vectors of different lengths. Rows that share an id count as one vector.
@@ -337,7 +496,11 @@ def near_duplicate_vectors(
     while True:
         counts, parts = _linked(nodes, count, threshold, overlap)
         recall = audited_recall(nodes, counts, count, threshold)
-        if recall >= RECALL or overlap >= MAX_OVERLAP:
+        if recall >= RECALL:
+            break
+        if overlap >= MAX_OVERLAP:
+            counts, parts = _exactly_linked(nodes, count, threshold)
+            recall = audited_recall(nodes, counts, count, threshold)
             break
         overlap += 1
     named = (
