@@ -234,6 +234,14 @@ def test_layers_are_opened_and_mapped():
     assert secrets.scan("%2525" * 4)[2] == 2
 
 
+def test_a_repeated_encoded_secret_is_reported_at_every_place():
+    plain = base64.b64encode(SECRET.encode() + b"xx").decode()
+    escaped = "".join(f"\\u{ord(c):04x}" for c in plain)
+    text = f"a {plain} b\n{escaped} c {plain}"
+    found = secrets.scan(text)[1]
+    assert [text[a:b] for a, _, b in found] == [plain, escaped, plain]
+
+
 def test_secret_rows(docs, empty):
     rows = secrets.find_secrets(docs).collect()
     assert len(rows) == len(AWKWARD)
