@@ -1,13 +1,16 @@
 """The corpus operators against brute force, on fixtures with the awkward cases."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tierflow.llm import exact_dedup, packing, secrets, vector_graph
@@ -242,6 +245,30 @@ def test_a_repeated_encoded_secret_is_reported_at_every_place():
     assert [text[a:b] for a, _, b in found] == [plain, escaped, plain]
 
 
+def test_large_layers_hide_nothing():
+    line = "".join(f"line {k % 10} " for k in range(99)) + "\n"
+    big = line * (2 * secrets.MAX_LAYER // len(line)) + SECRET
+    blob = base64.b64encode(gzip.compress(big.encode(), mtime=0)).decode().rstrip("=")
+    percent = "".join(f"%{b:02X}" for b in gzip.compress(big.encode(), mtime=0))
+    plain = base64.b64encode(SECRET.encode() + b"xx").decode()
+    for first in (blob, percent):
+        text = f"{first} then {plain}"
+        base, found, _, large = secrets.scan(text)
+        assert (large, [text[a:b] for a, k, b in found if k == 0]) == (1, [first, plain])
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_all_members_and_wrapped_lines_are_read(pack):
+    packed = pack(b"nothing here, " * 9) + pack(SECRET.encode())
+    whole = base64.b64encode(packed).decode().rstrip("=")
+    assert ("assign", whole) in spans_of(f"x {whole} y")
+    lines = "\n".join(whole[k : k + 64] for k in range(0, len(whole), 64))
+    assert ("assign", lines) in spans_of(f"x\n{lines}\ny")
+    wrapped = base64.encodebytes(b"0123456789" * 5 + SECRET.encode()).decode()
+    (found,) = [t for k, t in spans_of(f"x\n{wrapped}") if k == "assign"]
+    assert "\n" in found
+
+
 def test_secret_rows(docs, empty):
     rows = secrets.find_secrets(docs).collect()
     assert len(rows) == len(AWKWARD)
