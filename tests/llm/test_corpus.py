@@ -13,7 +13,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from tierflow.llm import exact_dedup, packing, secrets, vector_graph
+from tierflow.llm import exact_dedup, ngram_join, packing, secrets, vector_graph
 from tierflow.llm.components import components
 from tierflow.llm.language import UNDECIDED, learn_dictionaries, predict_language
 from tierflow.llm.mixing import mixed, mixing_rates
@@ -188,6 +188,30 @@ def test_join_of_families_with_one_link_at_the_threshold(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == wanted
 
 
+def test_links_of_each_document_are_counted(spark, monkeypatch):
+    """A group with links and other pairs inside, equal sets, and blocks of few sets."""
+    monkeypatch.setattr(ngram_join, "COUNTED_SETS", 7)
+    rng, base = np.random.default_rng(2), [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(50):
+        words = list(base)
+        for at in rng.integers(0, 120, size=k % 4):
+            words[at] = f"e{k}x{at}"
+        rows.append((k, " ".join(words)))
+    rows += [(100, rows[5][1].upper()), (101, None), (102, "all alone here today"), (None, rows[1][1])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found, _ = jaccard_join(df, width=4, percent=85, count_links=True)
+    sets = {d: brute_join([(d, t)], 4, 85)[1][d] for d, t in rows}
+
+    def linked(a, b):
+        common = len(sets[a] & sets[b])
+        return common > 0 and 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common)
+
+    wanted = {a: sum(linked(a, b) for b in sets if b is not None and b != a) for a in sets}
+    assert {r.doc_id: r.n_links for r in found.collect()} == wanted
+    assert len(set(wanted.values())) > 5
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)]
     found = components(spark.createDataFrame(links, "x bigint, y bigint"), "x", "y").collect()

@@ -25,6 +25,9 @@ SHORT_LIST, BLOCK = 8, 4096
 FLUSH = 2_000_000
 #: Texts that are fetched by sending their ids to every task (about 50 bytes each).
 MAX_BROADCAST = 300_000
+#: Sets and shingles in a block when the links of a component are counted, about, and
+#: columns of the table of sets and shingles that are held at a time.
+COUNTED_SETS, COUNTED_SHINGLES, COLUMNS = 128, 1 << 20, 1 << 15
 #: Rounds in which members outside a list's largest component meet only one inside it.
 ROUNDS = 2
 
@@ -302,6 +305,7 @@ def jaccard_join(
     percent: int = 85,
     id_col: str = "doc_id",
     text_col: str = "text",
+    count_links: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """All documents with the component that links of Jaccard >= percent / 100 put them in.
 
@@ -324,6 +328,10 @@ def jaccard_join(
     that has an id, else without one. Other columns are ignored; an empty table gives no
     rows.
 
+    With `count_links` the documents also have n_links, how many other documents they link
+    with: all pairs of sets inside a component are compared, block by block. The `links`
+    that are returned are those that were needed to find the components.
+
     Returns (documents: doc_id, n_shingles, component_id; links verified: x, y).
     """
     spark = docs.sparkSession
@@ -391,12 +399,81 @@ def jaccard_join(
     named = classes.join(parts, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component_id")
     )
-    whole = profile.join(named, "digest", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
+    columns = ["doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")]
+    if count_links:
+        # A document with an id is not its own partner; one without an id is nobody's.
+        copies = profile.filter("digest is not null and doc_id is not null").select("digest", "doc_id")
+        copies = copies.distinct().groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
+        sets = stored(nodes.join(parts, "node").join(copies, "digest"), "join-sets")
+        linked = _link_counts(sets, texts, nodes, width, percent, kind)
+        named = named.join(copies, "digest", "left").join(linked, "digest", "left")
+        equal = F.coalesce("copies", F.lit(0)) - F.col("doc_id").isNotNull().cast("bigint")
+        n_links = F.coalesce("linked", F.lit(0)) + equal
+        columns.append(F.when(F.col("digest").isNull(), 0).otherwise(n_links).alias("n_links"))
+    return profile.join(named, "digest", "left").select(*columns), links
+
+
+def _link_counts(
+    sets: DataFrame, texts: DataFrame, nodes: DataFrame, width: int, percent: int, kind: str
+) -> DataFrame:
+    """For each set of a component the documents of the other sets that it links with.
+
+    Links lie within components, so every pair of sets in a component is compared: in
+    blocks of about COUNTED_SETS sets or COUNTED_SHINGLES shingles, each pair of blocks once.
+    """
+    blocks = sets.groupBy("component").agg(
+        F.greatest(
+            F.ceil(F.count(F.lit(1)) / COUNTED_SETS), F.ceil(F.sum("n") / COUNTED_SHINGLES)
+        ).alias("blocks")
+    )
+    pairs = sets.select(F.col("node").alias("x"), F.col("node").alias("y"))
+    fetched = _fetch(texts, pairs, nodes, width, kind)
+    own = F.pmod(F.xxhash64("digest"), F.col("blocks"))
+    turns = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
+    placed = (
+        sets.join(blocks, "component")
+        .select("component", "digest", "copies", own.alias("own"), turns.alias("turns"))
+        .join(fetched.select(F.col("set").alias("digest"), "text"), "digest")
+        .select("component", "digest", "copies", "own", "text", F.explode("turns").alias("turn"))
+        .withColumn("low", F.least("own", "turn"))
+        .withColumn("high", F.greatest("own", "turn"))
     )
-    return whole, links
+    counted = placed.groupBy("component", "low", "high").applyInArrow(
+        _counted_links(width, percent), "digest binary, linked bigint"
+    )
+    return stored(counted.groupBy("digest").agg(F.sum("linked").alias("linked")), "join-counts")
+
+
+def _counted_links(width: int, percent: int):
+    """Links between two blocks of a component, or within one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        own, copies = table.column("own").to_numpy(), table.column("copies").to_numpy()
+        sets = [shingle_set(text.as_py(), width) for text in table.column("text")]
+        sizes = np.array([len(x) for x in sets])
+        count = len(sets)
+        _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        # A shingle of a single set is common to no pair.
+        number = np.cumsum(often > 1) - 1
+        row = np.repeat(np.arange(count), sizes)[often[column] > 1]
+        column = number[column[often[column] > 1]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        common = np.zeros((count, count))
+        for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            part = slice(*np.searchsorted(column, [at, at + COLUMNS]))
+            has = np.zeros((count, min(COLUMNS, int(column[-1]) + 1 - at)), np.float32)
+            has[row[part], column[part] - at] = 1
+            common += has @ has.T
+        link = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+        np.fill_diagonal(link, False)
+        if low != high:
+            link &= own[:, None] != own[None, :]
+        linked = pa.array((link * copies[None, :]).sum(axis=1), pa.int64())
+        return pa.table({"digest": table.column("digest"), "linked": linked})
+
+    return run
 
 
 def _fetch(texts: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, kind: str) -> DataFrame:
@@ -414,7 +491,8 @@ def _fetch(texts: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, kin
     )
     matched = profiled.join(wanted, "doc_id").filter(F.col("digest") == F.col("set"))
     once = matched.groupBy("doc_id", "digest").agg(F.min("text").alias("text"))
-    return stored(once.select(F.col("doc_id").alias("node"), "text"), "join-texts")
+    named = once.select(F.col("doc_id").alias("node"), F.col("digest").alias("set"), "text")
+    return stored(named, "join-texts")
 
 
 def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:

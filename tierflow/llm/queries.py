@@ -56,8 +56,9 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    found, _ = jaccard_join(_table(spark, folder, "documents"), width=4, percent=85)
-    return found.select("doc_id", "n_shingles", "component_id")
+    docs = _table(spark, folder, "documents")
+    found, _ = jaccard_join(docs, width=4, percent=85, count_links=True)
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @_query
