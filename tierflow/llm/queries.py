@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.exact_dedup import exact_duplicates
 from tierflow.llm.language import learn_dictionaries, predict_language
+from tierflow.llm.lexical_search import ranked_search
 from tierflow.llm.mixing import mixing_rates
 from tierflow.llm.ngram_join import jaccard_join
 from tierflow.llm.packing import pack_documents
@@ -146,6 +147,40 @@ def op10_vector_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found
 
 
+@_query
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), k=10)
+
+
+ORACLES["op11_lexical_search"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), tfs AS (
+  SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+), sizes AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM tfs GROUP BY doc_id
+), totals AS (
+  SELECT count(*) AS n_docs, sum(n)::BIGINT AS l FROM sizes
+), asked AS (
+  SELECT item_id, term, count(*) AS c FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tfs, totals GROUP BY term, n_docs
+), scores AS (
+  SELECT item_id, doc_id,
+    sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // l))))::BIGINT AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+  GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run  # imported late: the pipeline imports this module
 
