@@ -16,6 +16,7 @@ from tierflow.llm.perplexity import classify_quality
 from tierflow.llm.pii import with_surrogates
 from tierflow.llm.secrets import find_secrets
 from tierflow.llm.sharding import byte_shards
+from tierflow.llm.spelling import spelling_variants
 from tierflow.llm.vector_graph import near_duplicate_vectors
 from tierflow.workload.registry import Query
 
@@ -181,6 +182,11 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 1
 """
 
 
+@_query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(_table(spark, folder, "documents"))
+
+
 def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run  # imported late: the pipeline imports this module
 

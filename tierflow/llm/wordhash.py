@@ -27,7 +27,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BYTE_BASE))
 
 
-class _Powers:
+class Powers:
     """Powers of an odd base and of its inverse, as far as they have been needed."""
 
     def __init__(self, base: int):
@@ -44,7 +44,7 @@ class _Powers:
         return self.tables
 
 
-_BYTE_POWERS, _WORD_POWERS = _Powers(BYTE_BASE), _Powers(WORD_BASE)
+_BYTE_POWERS, _WORD_POWERS = Powers(BYTE_BASE), Powers(WORD_BASE)
 
 
 def _sums(values: np.ndarray, powers: np.ndarray) -> np.ndarray:
