@@ -17,6 +17,7 @@ from tierflow.llm.pii import with_surrogates
 from tierflow.llm.secrets import find_secrets
 from tierflow.llm.sharding import byte_shards
 from tierflow.llm.spelling import spelling_variants
+from tierflow.llm.substring_dedup import without_repeats
 from tierflow.llm.vector_graph import near_duplicate_vectors
 from tierflow.workload.registry import Query
 
@@ -187,6 +188,34 @@ def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants(_table(spark, folder, "documents"))
 
 
+@_query
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(_table(spark, folder, "documents"), width=35)
+
+
+ORACLES["op13_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM w
+), windows AS (
+  SELECT doc_id, i, sha256(array_to_string(words[i:i + 34], ' ')) AS h FROM starts
+), hit AS (
+  SELECT doc_id, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM hit
+), each AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS words
+  FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(w.words)::BIGINT AS n_words, (len(w.words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept.words, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run  # imported late: the pipeline imports this module
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are hashed at a time; a longer text is a piece by itself.
 PIECE_BYTES = 1 << 20
@@ -64,8 +66,8 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
 
 def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """Runs of neighbouring texts of about `limit` bytes, each with the place of its first."""
-    sizes = np.array([0 if n is None else n for n in pa.compute.binary_length(texts).to_pylist()], np.int64)
-    ends, start = np.cumsum(sizes), 0
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends, start = np.cumsum(sizes, dtype=np.int64), 0
     while start < len(texts):
         done = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
@@ -116,24 +118,23 @@ class Words:
             at = to
         return np.concatenate(made)
 
-    def text(self, first: int, last: int) -> bytes:
-        """Words `first` to `last` (exclusive), joined by one space."""
-        data = self.data.tobytes() if self._bytes is None else self._bytes
-        self._bytes = data
-        return b" ".join([data[a:b] for a, b in zip(self.starts[first:last].tolist(), self.ends[first:last].tolist())])
-
-    _bytes: bytes | None = None
-
-    def joined(self, picked: np.ndarray) -> bytes:
-        """The picked words, joined by one space."""
-        if not len(picked):
-            return b""
-        lengths = self.ends[picked] - self.starts[picked] + 1
+    @cached_property
+    def _joined(self) -> tuple[memoryview, np.ndarray]:
+        """All words with one space after each, and where each begins."""
+        lengths = self.ends - self.starts + 1
         to = np.cumsum(lengths)
-        out = np.full(to[-1], 0x20, np.uint8)
-        shift = np.repeat(self.starts[picked] - (to - lengths), lengths)
-        places = np.arange(to[-1]) + shift
-        real = np.ones(to[-1], bool)
-        real[to - 1] = False
-        out[real] = self.data[places[real]]
-        return out[:-1].tobytes()
+        shift = np.repeat(self.starts - (to - lengths), lengths)
+        out = self.data[np.minimum(np.arange(len(shift)) + shift, len(self.data) - 1)]
+        out[to - 1] = 0x20
+        return memoryview(out.tobytes()), np.concatenate([[0], to])
+
+    def text(self, first: int, last: int) -> memoryview:
+        """Words `first` to `last` (exclusive), joined by one space."""
+        joined, at = self._joined
+        return joined[at[first] : max(at[last] - 1, at[first])]
+
+    def kept(self, first: int, left: np.ndarray) -> bytes:
+        """The words from `first` on that are marked, joined by one space."""
+        joined, at = self._joined
+        whole = np.frombuffer(joined, np.uint8)[at[first] : at[first + len(left)]]
+        return whole[np.repeat(left, np.diff(at[first : first + len(left) + 1]))][:-1].tobytes()
