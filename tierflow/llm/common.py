@@ -13,14 +13,14 @@ from tierflow.session import scratch
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """Write to a fresh table in the shared folder and read it back.
 
     Cuts the lineage so that lost executors cost a reread, and fixes values that depend
     on the partitioning. Tables are never overwritten.
     """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

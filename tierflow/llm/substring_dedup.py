@@ -15,6 +15,8 @@ from tierflow.llm.wordhash import Words, pieces, window_hashes
 
 #: Words of the sampled runs that tell which windows can be repeated at all.
 SEED_WORDS = 11
+#: Bits of the row filter that spares the shuffle of texts that take no part, per row and at most (16 MB).
+ROW_BITS, MAX_BITS = 16, 1 << 27
 NOTHING = np.empty(0, np.int64)
 
 
@@ -238,11 +240,38 @@ def _removed(width: int):
     return run
 
 
+def having(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """`texts` joined with `rows`, both by row.
+
+    A bit per hashed row, of bounded size, goes to the tasks first, so that hardly any
+    text without a partner is shuffled; the join decides.
+    """
+    n = rows.count()
+    size = min(MAX_BITS, max(64, ROW_BITS * n))
+    bit = F.pmod(F.xxhash64("row"), F.lit(size))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))
+    cells = rows.select((bit / 64).cast("int").alias("cell"), one.alias("bits"))
+    found = cells.groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table = np.zeros(-(-size // 64), np.int64)
+    table[found["cell"].to_numpy()] = found["bits"].to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            at = batch.column("_bit").to_numpy()
+            mine = (bits[at // 64] >> (at % 64)) & 1 == 1
+            yield batch.select(["row", "text"]).filter(pa.array(mine))
+
+    near = texts.withColumn("_bit", bit).mapInArrow(run, texts.schema)
+    return near.join(rows, "row")
+
+
 def without(texts: DataFrame, hits: DataFrame, width: int) -> DataFrame:
     """Texts without the windows of `hits` (row, place, edge, head), and their path spans."""
     listed = hits.groupBy("row").agg(F.collect_list(F.struct("place", "edge", "head")).alias("hits"))
     schema = f"row bigint, n_removed bigint, kept_sha256 string, spans {SPANS}"
-    return texts.join(listed, "row").mapInArrow(_removed(width), schema)
+    return having(texts, stored(listed, "passage-hits")).mapInArrow(_removed(width), schema)
 
 
 def _windows_read(width: int):
@@ -293,7 +322,7 @@ def verified(texts: DataFrame, cut: DataFrame, width: int) -> DataFrame:
     )
     asked = singles.filter("clash").groupBy("row").agg(F.collect_list("place").alias("at"))
     read = stored(
-        texts.join(asked, "row").mapInArrow(_windows_read(width), "row bigint, place int, lo bigint, hi bigint"),
+        having(texts, stored(asked, "passage-asked")).mapInArrow(_windows_read(width), "row bigint, place int, lo bigint, hi bigint"),
         "passage-windows",
     )
     same = stored(read.groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "passage-same")
@@ -333,6 +362,7 @@ def without_repeats(
     known = stored(
         narrow.mapInArrow(_profiles(width, hash_bits), shape).withColumn("row", F.monotonically_increasing_id()),
         "passage-texts",
+        compression="zstd",
     )
     long = known.filter(F.col("n_words") >= width)
     groups = long.groupBy("sha").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -348,10 +378,10 @@ def without_repeats(
     )
     counted = seeds.groupBy("seeds").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seeds")
     shared = seeds.join(stored(counted, "passage-shared"), "seeds")
-    asked = shared.groupBy("row").agg(F.collect_list("places").alias("at"))
+    asked = stored(shared.groupBy("row").agg(F.collect_list("places").alias("at")), "passage-asked")
     texts = known.select("row", "text")
     edges = stored(
-        texts.join(asked, "row").mapInArrow(_edges(width, hash_bits), "row bigint, places array<int>, edges array<bigint>"),
+        having(texts, asked).mapInArrow(_edges(width, hash_bits), "row bigint, places array<int>, edges array<bigint>"),
         "passage-windows",
     )
     steps = edges.mapInArrow(_steps, "row bigint, place int, edge bigint, after bigint, before bigint")
