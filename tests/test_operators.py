@@ -1,4 +1,5 @@
 import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -49,8 +50,8 @@ def test_latest_limits_each_partition_before_the_shuffle(history):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-@pytest.mark.parametrize("unit", ["hour", "day", "year"])
-def test_history_slices_do_not_change_the_intervals(spark, as_rows, unit):
+@pytest.mark.parametrize("heavy_rows, partitions", [(10**6, None), (20, 5), (0, None), (0, 9)])
+def test_history_ranges_do_not_change_the_intervals(spark, as_rows, heavy_rows, partitions):
     start = datetime.datetime(2025, 12, 30)
     data = [
         (None if i % 7 == 0 else i % 3, start + datetime.timedelta(hours=5 * (i // 2)), i)
@@ -60,7 +61,7 @@ def test_history_slices_do_not_change_the_intervals(spark, as_rows, unit):
     def place(ts, i):
         return (ts is not None, ts or start, i)
     df = spark.createDataFrame(data, "k int, ts timestamp, id int")
-    made = scd2_history(df, ["k"], "ts", ["id"], slice_unit=unit)
+    made = scd2_history(df, ["k"], "ts", ["id"], heavy_rows=heavy_rows, partitions=partitions)
     expected = []
     for k, ts, i in data:
         later = sorted(
@@ -70,6 +71,22 @@ def test_history_slices_do_not_change_the_intervals(spark, as_rows, unit):
     assert as_rows(made) == sorted(expected, key=repr)
 
 
+def test_history_of_one_key_at_one_time_is_shared_by_tasks(spark):
+    """All rows but one have one key and one time; every range ends where the next begins."""
+    at, later = datetime.datetime(2026, 1, 1), datetime.datetime(2026, 1, 2)
+    same = spark.range(0, 20_000, numPartitions=4).select(
+        F.lit(1).alias("k"), F.lit(at).alias("ts"), (F.col("id") % 100).alias("id")
+    )
+    df = same.unionByName(spark.createDataFrame([(1, later, 0)], same.schema))
+    made = scd2_history(df, ["k"], "ts", ["id"], heavy_rows=1000, partitions=8)
+    ends = {r.ends: r.n for r in made.groupBy(F.col("__END_AT").alias("ends")).agg(F.count("*").alias("n")).collect()}
+    assert ends == {at: 19_999, later: 1, None: 1}
+    folders = Path(scratch(spark, "x")).parent.glob("history-*")
+    newest = spark.read.parquet(str(max(folders, key=lambda p: p.stat().st_mtime)))
+    sizes = [r["count"] for r in newest.groupBy("_part").count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 10_000
+
+
 def test_left_join_keeps_left_only_and_drops_right_only(spark, as_rows):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, l string")
     right = spark.createDataFrame([(1, 1.0), (3, 3.0)], "rk int, r double")

@@ -297,6 +297,18 @@ def event_history(t: Tables):
     )
 
 
+@query(
+    """select *, ts as valid_from,
+      lead(ts) over (partition by event_type order by ts, event_id) as valid_to from events"""
+)
+def scd2_heavy_keys(t: Tables):
+    """A handful of keys hold all rows: each is spread over ranges."""
+    return scd2_history(
+        t.events, ["event_type"], "ts", ["event_id"], start="valid_from", end="valid_to",
+        heavy_rows=1000,
+    )
+
+
 # ------------------------------------------------------------------ projections
 
 
