@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators.aggregate import Metric, conditional_aggs
@@ -10,6 +10,7 @@ from tierflow.operators.joins import left_join_fill
 from tierflow.operators.projection import lead_with
 from tierflow.operators.quality import expect
 from tierflow.plans import contracts
+from tierflow.streaming.deltas import DeltaView
 
 # Metric name, aggregate and transaction code.
 ATM_METRICS = """
@@ -47,9 +48,12 @@ def atm_behaviour(
 
     With an observation, dropped rows are counted.
     """
-    grouped = conditional_aggs(
-        transactions, ["identificador_cliente"], atm_metrics(money_scale)
-    )
+    keys = ["identificador_cliente"]
+    return identified_behaviour(conditional_aggs(transactions, keys, atm_metrics(money_scale)), dropped)
+
+
+def identified_behaviour(grouped: DataFrame, dropped: Observation | None = None) -> DataFrame:
+    """Metrics per customer without the null customer."""
     return lead_with(
         expect(
             grouped, "cliente_identificado", "identificador_cliente IS NOT NULL", observation=dropped
@@ -58,6 +62,11 @@ def atm_behaviour(
     )
 
 
+def behaviour_view(spark: SparkSession, root: str, money_scale: int | None = None) -> DeltaView:
+    """The same metrics kept by deltas."""
+    return DeltaView(spark, root, ["identificador_cliente"], atm_metrics(money_scale))
+
+
 def customer_summary(customers: DataFrame, behaviour: DataFrame) -> DataFrame:
     """Every customer with 17 attributes and the five metrics, 0 where there are none."""
     fills = {m.name: 0 if m.kind == "count" else 0.0 for m in atm_metrics()}

@@ -7,17 +7,24 @@ as versions and read back, so no stage recomputes an earlier one.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.plans import contracts
-from tierflow.plans.gold import atm_behaviour, customer_summary
+from tierflow.plans.gold import (
+    atm_behaviour,
+    behaviour_view,
+    customer_summary,
+    identified_behaviour,
+)
 from tierflow.plans.silver import customer_dimension, enriched_transactions
 from tierflow.session import join_path
 from tierflow.sources import storage
 from tierflow.sources.sinks import cluster_rows, current_view, files_for, refresh_view
 from tierflow.streaming.ingest import committed_batches, read_ingested, start_ingest
+from tierflow.streaming.tables import for_each_batch
 
 BRONZE = ("cmstfl", "trxpfl", "blncfl")
 
@@ -58,31 +65,66 @@ def _refresh(
     return current_view(df.sparkSession, path)
 
 
+FACTS = "transacciones_enriquecidas"
+
+
 def refresh_facts(spark: SparkSession, root: str, file_bytes: int = 256 << 20) -> tuple[DataFrame, int]:
     """Enrich the bronze transactions that arrived since the last refresh.
 
-    Every landed batch becomes one clustered batch of the fact table, in a folder of the
-    same number. A finished one is never written again and an unfinished one is replaced,
-    so each transaction is there exactly once, however often the refresh is repeated.
-    Returns the whole fact table and the number of batches written now.
+    The bronze table is read as a stream of its landed batches. Each becomes one
+    clustered batch of the fact table, in a folder of the same number. A finished one is never written
+    again and an unfinished one is replaced, so each transaction is there exactly
+    once, however often the refresh is repeated. Returns the whole fact table and the number
+    of batches written now.
     """
-    name = "transacciones_enriquecidas"
-    bronze, facts = join_path(root, "bronze", "trxpfl"), join_path(root, "silver", name)
-    done = set(storage.committed(spark, facts, "batch_id"))
+    bronze, facts = join_path(root, "bronze", "trxpfl"), join_path(root, "silver", FACTS)
+    written = []
+
+    def enrich(rows: DataFrame, landed: list[int], _: int) -> None:
+        own = rows.sparkSession
+        for n in landed:
+            if storage.is_complete(own, f"{facts}/batch_id={n}"):
+                continue
+            made = enriched_transactions(read_ingested(own, bronze, batches=[n]))
+            files = files_for(_bytes(own, f"{bronze}/flow=main/batch_id={n}"), file_bytes)
+            clustered = cluster_rows(made, contracts.CLUSTERING[FACTS], files, ["identificador_transaccion"])
+            clustered.write.mode("overwrite").parquet(f"{facts}/batch_id={n}")
+            written.append(n)
+
+    for_each_batch(spark, bronze, join_path(root, "checkpoints", FACTS), enrich)
     landed = committed_batches(spark, bronze)
-    fresh = [n for n in landed if n not in done]
-    for n in fresh:
-        rows = enriched_transactions(read_ingested(spark, bronze, batches=[n]))
-        files = files_for(_bytes(spark, f"{bronze}/flow=main/batch_id={n}"), file_bytes)
-        clustered = cluster_rows(
-            rows, contracts.CLUSTERING[name], files, ["identificador_transaccion"]
-        )
-        clustered.write.mode("overwrite").parquet(f"{facts}/batch_id={n}")
     if not landed:
         return enriched_transactions(bronze_table(spark, root, "trxpfl")), 0
-    layout = enriched_transactions(read_ingested(spark, bronze, batches=landed[-1:])).schema
-    whole = spark.read.schema(layout).parquet(*[f"{facts}/batch_id={n}" for n in landed])
-    return whole, len(fresh)
+    return fact_batches(spark, root, landed), len(written)
+
+
+def fact_batches(spark: SparkSession, root: str, numbers: Sequence[int]) -> DataFrame:
+    """The fact rows of some landed batches."""
+    bronze, facts = join_path(root, "bronze", "trxpfl"), join_path(root, "silver", FACTS)
+    layout = enriched_transactions(read_ingested(spark, bronze, batches=[max(numbers)])).schema
+    return spark.read.schema(layout).parquet(*[f"{facts}/batch_id={n}" for n in numbers])
+
+
+def refresh_behaviour(
+    spark: SparkSession, root: str, money_scale: int | None = None, dropped: Observation | None = None
+) -> tuple[DataFrame, list[int]]:
+    """Bring the ATM view forward by the fact batches it does not hold yet.
+
+    Only these batches are read; the view is finished from the states of all. Returns the view
+    and the batches added now.
+    """
+    name = f"comportamiento_atm_cliente-{'double' if money_scale is None else money_scale}"
+    view = behaviour_view(spark, join_path(root, "gold", "_states", name), money_scale)
+    through = view.through()
+    done = storage.committed(spark, join_path(root, "silver", FACTS), "batch_id")
+    fresh = [n for n in done if through is None or n > through]
+    for n in fresh:
+        view.apply(n, fact_batches(spark, root, [n]))
+    rows = view.rows()
+    if rows is None:
+        empty = enriched_transactions(bronze_table(spark, root, "trxpfl"))
+        return atm_behaviour(empty, money_scale, dropped), []
+    return identified_behaviour(rows, dropped), fresh
 
 
 def refresh_all(
@@ -95,8 +137,8 @@ def refresh_all(
 ) -> dict[str, DataFrame]:
     """Bring silver and gold up to date with bronze; returns the four tables.
 
-    The fact table takes only the batches that are new; the dimension and the gold views
-    are written as new versions. The number of files follows from the size of the inputs.
+    The fact table and the ATM view take only the batches that are new; the dimension and the
+    gold views are written as new versions. The number of files follows from the size of the inputs.
     `report`, if given, is filled with the rows dropped by each expectation and the fact
     batches written.
     """
@@ -110,7 +152,7 @@ def refresh_all(
     )
     transactions, written = refresh_facts(spark, root, file_bytes)
     behaviour = _refresh(
-        atm_behaviour(transactions, money_scale, activity),
+        refresh_behaviour(spark, root, money_scale, activity)[0],
         root, "gold", "comportamiento_atm_cliente", ["identificador_cliente"],
     )
     summary = _refresh(

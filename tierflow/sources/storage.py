@@ -61,6 +61,52 @@ def committed(spark: SparkSession, root: str, label: str) -> list[int]:
     return sorted(int(n.removeprefix(f"{label}=")) for n in names)
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly under a folder, from one listing; none if it does not exist."""
+    fs, target = _open(spark, folder)
+    if not fs.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(target))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, target = _open(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written beside its place and renamed, so that it is never seen in part.
+
+    An existing file is replaced.
+    """
+    fs, target = _open(spark, path)
+    beside = target.suffix(".unfinished")
+    stream = fs.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(beside, target):
+        raise OSError(f"cannot write {path}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _open(spark, path)
+    fs.mkdirs(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = _open(spark, path)
+    fs.delete(target, True)
+
+
 def set_age(spark: SparkSession, folder: str, days: int) -> None:
     """Date the files of a folder `days` back, as copies that keep their date are."""
     fs, target = _open(spark, folder)

@@ -1,8 +1,8 @@
-"""Type-1 upserts from a stream, kept as a small change log over a base table.
+"""Type-1 upserts and deletes from a stream, kept as a log of runs.
 
-Each micro-batch writes only its own newest row per key; the current state is the
-newest row per key over the base and the later batches. `fold` writes the next base.
-Nothing that may be read is overwritten.
+Each micro-batch writes only its own newest row per key; deletes stay as rows that carry their
+sequence number, so a delete that arrives before the insert it follows still wins. The current
+state is the newest row per key over the live runs.
 """
 
 from __future__ import annotations
@@ -10,30 +10,36 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierflow.operators.latest import latest_by_key
-from tierflow.operators.sets import union_all_by_name
 from tierflow.sources import storage
+from tierflow.streaming.runs import RunLog
 
+#: Marks the rows that delete their key. At the same place in the order a delete wins.
+DELETED = "_deleted"
 
-def upsert_stream(
-    stream: DataFrame,
-    root: str,
-    checkpoint: str,
-    keys: Sequence[str],
-    order: Sequence[str],
-    tie: Sequence[str],
-) -> None:
-    """Apply everything that is new in the stream, then return."""
+
+def upsert_log(
+    spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str], tie: Sequence[str], fanout: int = 8
+) -> RunLog:
+    return RunLog(spark, root, lambda rows: latest_by_key(rows, keys, [*order, DELETED], tie), fanout)
+
+
+def apply_batches(stream: DataFrame, log: RunLog, checkpoint: str, prepare) -> None:
+    """Apply everything that is new in the stream to a log, then return.
+
+    `prepare(batch, batch_id)` gives the rows that a micro-batch adds.
+    """
     spark = stream.sparkSession
-    log = f"{root}/log"
-    if not storage.exists(spark, f"{checkpoint}/metadata") and storage.exists(spark, log):
-        raise ValueError("the table has a change log but the checkpoint is new")
+    if not storage.exists(spark, f"{checkpoint}/metadata") and log.through() is not None:
+        raise ValueError("the table has applied batches but the checkpoint is new")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        target = f"{log}/batch_id={batch_id}"
-        if not storage.is_complete(batch.sparkSession, target):
-            latest_by_key(batch, keys, order, tie).write.mode("overwrite").parquet(target)
+        own = RunLog(batch.sparkSession, log.root, log.merge, log.fanout, log.layout)
+        through = own.through()
+        if through is None or batch_id > through:
+            own.apply(batch_id, prepare(batch, batch_id))
 
     query = (
         stream.writeStream.foreachBatch(merge)
@@ -44,15 +50,23 @@ def upsert_stream(
     query.awaitTermination()
 
 
-def _parts(spark: SparkSession, root: str) -> tuple[list[DataFrame], int]:
-    base = storage.newest_complete(spark, f"{root}/base", "through")
-    reached = -1 if base is None else base
-    later = storage.complete_after(spark, f"{root}/log", "batch_id", reached)
-    parts = [] if base is None else [spark.read.parquet(f"{root}/base/through={base}")]
-    if later:
-        log = [f"{root}/log/batch_id={i}" for i in later]
-        parts.append(spark.read.option("basePath", f"{root}/log").parquet(*log).drop("batch_id"))
-    return parts, (later[-1] if later else reached)
+def upsert_stream(
+    stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    tie: Sequence[str],
+    deletes: str | None = None,
+    fanout: int = 8,
+) -> None:
+    """Apply everything that is new in the stream, then return. Rows for which the condition
+    `deletes` holds delete their key as of their place in the order."""
+    log = upsert_log(stream.sparkSession, root, keys, order, tie, fanout)
+    gone = F.lit(False) if deletes is None else F.coalesce(F.expr(deletes), F.lit(False))
+    apply_batches(
+        stream, log, checkpoint, lambda batch, _: log.merge(batch.withColumn(DELETED, gone))
+    )
 
 
 def current_rows(
@@ -62,11 +76,12 @@ def current_rows(
     order: Sequence[str],
     tie: Sequence[str],
 ) -> DataFrame:
-    """One row per key: the newest over the base and the change log."""
-    parts, _ = _parts(spark, root)
-    if not parts:
+    """One row per key that is not deleted: the newest over all batches."""
+    log = upsert_log(spark, root, keys, order, tie)
+    rows = log.rows()
+    if rows is None:
         raise ValueError(f"nothing has been applied to {root}")
-    return latest_by_key(union_all_by_name(parts), keys, order, tie)
+    return log.merge(rows).filter(~F.col(DELETED)).drop(DELETED)
 
 
 def fold(
@@ -75,11 +90,6 @@ def fold(
     keys: Sequence[str],
     order: Sequence[str],
     tie: Sequence[str],
-) -> str:
-    """Write the current state as the base that covers every finished batch."""
-    parts, through = _parts(spark, root)
-    path = f"{root}/base/through={through}"
-    if not storage.is_complete(spark, path):
-        state = latest_by_key(union_all_by_name(parts), keys, order, tie)
-        state.write.mode("overwrite").parquet(path)
-    return path
+) -> None:
+    """Bring all runs together into one. Deletes stay, for rows that are yet to arrive."""
+    upsert_log(spark, root, keys, order, tie).fold()

@@ -18,9 +18,13 @@ from tierflow.session import scratch
 from tierflow.sources import sinks, storage
 from tierflow.sources.files import scan_dated
 from tierflow.streaming.append import append_stream, incremental_view, stream_files
+from tierflow.streaming.deltas import DeltaView
+from tierflow.streaming.history import apply_history, history_rows
 from tierflow.streaming.ingest import INGESTED, RESCUED, ingest_files, read_ingested
+from tierflow.streaming.tables import append_flow, read_flows
 from tierflow.streaming.upsert import current_rows, fold, upsert_stream
 from tierflow.workload.registry import Tables, query
+from tierflow.workload.relational import ORDER_METRICS_SQL, order_metrics
 
 AT = datetime.datetime(2001, 8, 1)
 SPLIT = "1998-01-01"
@@ -132,6 +136,82 @@ def scd1_upsert(t: Tables):
     return current_rows(t.spark, f"{root}/table", *rule)
 
 
+@query(
+    """select * exclude (rn) from (select *, row_number() over (partition by user_id
+        order by ts desc, event_type = 'purchase' desc, event_id desc) as rn from events)
+    where rn = 1 and event_type <> 'purchase'"""
+)
+def scd1_deletes(t: Tables):
+    """A purchase deletes its user; the batches come in any order of time."""
+    root = scratch(t.spark, "scd1-deletes")
+    rule = (["user_id"], ["ts"], ["event_id"])
+    for part in range(3):
+        t.events.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/landing")
+        stream = stream_files(t.spark, t.events.schema, f"{root}/landing")
+        upsert_stream(
+            stream, f"{root}/table", f"{root}/checkpoint", *rule, deletes="event_type = 'purchase'", fanout=2
+        )
+    return current_rows(t.spark, f"{root}/table", *rule)
+
+
+@query(
+    """select * from (select *, ts as valid_from,
+        lead(ts) over (partition by user_id order by ts, event_id) as valid_to from events)
+    where event_type <> 'purchase'"""
+)
+def scd2_apply(t: Tables):
+    """Three batches of events in any order of time; a purchase closes the user's interval."""
+    root = scratch(t.spark, "scd2-apply")
+    rule = (["user_id"], "ts", ["event_id"])
+    for part in range(3):
+        t.events.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/landing")
+        stream = stream_files(t.spark, t.events.schema, f"{root}/landing")
+        apply_history(
+            stream, f"{root}/table", f"{root}/checkpoint", *rule, deletes="event_type = 'purchase'",
+            start="valid_from", end="valid_to", buckets=8, fanout=2,
+        )
+    return history_rows(t.spark, f"{root}/table", *rule)
+
+
+@query(
+    f"""with o as (select * replace (case when o_orderkey % 11 = 0 then o_totalprice * 2
+        else o_totalprice end as o_totalprice) from orders where o_orderkey % 13 <> 0)
+    select o_custkey, {ORDER_METRICS_SQL} from o group by o_custkey"""
+)
+def gold_incremental(t: Tables):
+    """Two batches of orders, then corrections: some prices double, some orders are withdrawn."""
+    view = DeltaView(t.spark, scratch(t.spark, "gold-states"), ["o_custkey"], order_metrics(), fanout=2)
+    for n, part in enumerate(halves(t.orders)):
+        view.apply(n, part)
+    doubled = (F.col("o_orderkey") % 11 == 0) & (F.col("o_orderkey") % 13 != 0)
+    withdrawn = F.col("o_orderkey") % 13 == 0
+    after = t.orders.filter(doubled).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    view.apply(2, after, retracted=t.orders.filter(doubled | withdrawn))
+    return view.rows()
+
+
+@query(
+    """select o_orderkey, o_custkey, case when o_orderstatus = 'F' then 'done' else 'open' end as flow
+    from orders"""
+)
+def table_stream_flows(t: Tables):
+    """Two ingested tables flow into one sink, a load at a time."""
+    root = scratch(t.spark, "flows")
+    done = F.col("o_orderstatus") == "F"
+    sides = {"done": t.orders.filter(done), "open": t.orders.filter(~done)}
+    for k in range(2):
+        for name, side in sides.items():
+            side.filter(F.col("o_orderkey") % 2 == k).write.parquet(f"{root}/{name}-landing/load{k}")
+            ingest_files(
+                t.spark, f"{root}/{name}-landing", f"{root}/{name}", f"{root}/{name}-checkpoint", ingested_at=AT
+            )
+            append_flow(
+                t.spark, f"{root}/{name}", f"{root}/sink", f"{root}/{name}-flow", name,
+                lambda rows, name=name: rows.select("o_orderkey", "o_custkey", F.lit(name).alias("flow")),
+            )
+    return read_flows(t.spark, f"{root}/sink", list(sides))
+
+
 @query("select * from events")
 def partitioned_scan(t: Tables):
     root = scratch(t.spark, "dated")
