@@ -17,7 +17,8 @@ from tierflow.operators.keys import one_row_per_key
 from tierflow.operators.literals import literal_table
 
 
-def _holds(predicate: str | Column) -> Column:
+def holds(predicate: str | Column) -> Column:
+    """Whether a row meets the predicate; null does not."""
     test = F.expr(predicate) if isinstance(predicate, str) else predicate
     return F.coalesce(test, F.lit(False))
 
@@ -35,7 +36,7 @@ def expect(
     observation the violations are counted while the rows pass; counting keeps
     Catalyst from pushing the filter further down, so it is optional.
     """
-    ok = _holds(predicate)
+    ok = holds(predicate)
     if observation is not None:
         df = df.observe(
             observation,
@@ -54,7 +55,7 @@ def expect(
 
 def expectation_metrics(df: DataFrame, rules: Mapping[str, str | Column]) -> DataFrame:
     """Passed and violated row counts of every rule, from one scan."""
-    counts = [F.count_if(~_holds(rule)).alias(f"bad_{i}") for i, rule in enumerate(rules.values())]
+    counts = [F.count_if(~holds(rule)).alias(f"bad_{i}") for i, rule in enumerate(rules.values())]
     one = df.agg(F.count(F.lit(1)).alias("n_rows"), *counts)
     lines = [
         F.struct(

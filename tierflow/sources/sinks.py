@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators.projection import lead_with
@@ -36,8 +36,8 @@ def files_for(total_bytes: int, target_bytes: int = 256 << 20) -> int:
     return max(1, math.ceil(total_bytes / target_bytes))
 
 
-#: Ranges per clustered write, at most. More files than that are left to the writer and
-#: to later compaction; more ranges would be bounded by too few sampled rows each.
+#: Ranges per clustered write, at most: more would be bounded by too few sampled rows each.
+#: `write_nested` cuts the files of larger ranges in the task.
 MAX_RANGES = 4096
 
 
@@ -69,6 +69,66 @@ def write_clustered(
     cluster_rows(df, columns, partitions).write.mode("overwrite").parquet(path)
 
 
+#: Buckets of a leading column in a nested layout, and rows sampled per bucket for its bounds.
+MAX_BUCKETS, SAMPLED = 1024, 200
+
+
+def column_bounds(df: DataFrame, column: str, buckets: int, rows: int) -> list:
+    """Values that cut the column into about equal buckets, from a sample whose size they bound."""
+    if buckets < 2 or not rows:
+        return []
+    wanted = buckets * SAMPLED
+    some = df.select(F.col(column).alias("v")).filter("v is not null")
+    sample = some.sample(min(1.0, 2 * wanted / rows), seed=7).limit(4 * wanted)
+    values = sorted(r.v for r in sample.collect())
+    if not values:
+        return []
+    return sorted({values[len(values) * k // buckets] for k in range(1, buckets)})
+
+
+def bucket_of(column: str, bounds: Sequence) -> Column:
+    """The number of bounds up to the value, by halving; nulls stand before the first bucket."""
+
+    def place(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.col(column) < F.lit(bounds[middle]), place(low, middle)).otherwise(place(middle + 1, high))
+
+    return F.when(F.col(column).isNull(), F.lit(-1)).otherwise(place(0, len(bounds)))
+
+
+def write_nested(
+    df: DataFrame, path: str, columns: Sequence[str], file_bytes: int = 256 << 20, total_bytes: int | None = None
+) -> int:
+    """Clustered files on two or three columns, each of which prunes; returns the rows a file may hold.
+
+    All columns but the last are cut into buckets at sampled quantiles. Rows are range-partitioned
+    on the buckets and the last column (with a row hash and the input partition, so that a
+    hot value is cut too) into MAX_RANGES ranges at most, sorted, and cut in the task into
+    files of about `file_bytes`. `total_bytes` is the size of the whole table as files (by default that of
+    the files it is read from).
+    """
+    if not 2 <= len(columns) <= 3:
+        raise ValueError("nest two or three columns")
+    spark = df.sparkSession
+    if total_bytes is None:
+        total_bytes = sum(storage.total_bytes(spark, f) for f in df.inputFiles())
+    rows = df.count()
+    files = files_for(total_bytes, file_bytes)
+    per_file = max(1, math.ceil(rows / files))
+    buckets = min(MAX_BUCKETS, math.ceil(files ** (1 / len(columns))))
+    numbers = {}
+    for k, c in enumerate(columns[:-1]):
+        numbers[f"_nest{k}"] = bucket_of(c, column_bounds(df, c, buckets, rows))
+    nested = lead_with(df, columns).withColumns(numbers)
+    salts = [F.xxhash64(*df.columns), F.spark_partition_id()]
+    ranged = nested.repartitionByRange(min(files, MAX_RANGES), *numbers, columns[-1], *salts)
+    ordered = ranged.sortWithinPartitions(*numbers, columns[-1]).drop(*numbers)
+    ordered.write.mode("overwrite").option("maxRecordsPerFile", per_file).parquet(path)
+    return per_file
+
+
 def write_files(df: DataFrame, path: str, files: int) -> None:
     """Overwrite with a given number of evenly filled files."""
     df.repartition(files).write.mode("overwrite").parquet(path)

@@ -97,6 +97,19 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"cannot write {path}")
 
 
+def data_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """Path below the folder and size of every file in it, at any depth, without marks."""
+    fs, target = _open(spark, folder)
+    base = fs.makeQualified(target).toString().rstrip("/") + "/"
+    listed, found = fs.listFiles(target, True), []
+    while listed.hasNext():
+        status = listed.next()
+        path = status.getPath()
+        if not path.getName().startswith(("_", ".")):
+            found.append((path.toString().removeprefix(base), status.getLen()))
+    return sorted(found)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.mkdirs(target)

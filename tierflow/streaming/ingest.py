@@ -28,6 +28,7 @@ from tierflow.operators.projection import lead_with
 from tierflow.operators.sets import union_all_by_name
 from tierflow.sources import storage
 from tierflow.sources.files import merged_schema
+from tierflow.sources.footers import grouped_by_schema
 
 RESCUED = "_rescued_data"
 INGESTED = "FechaIngestaDatos"
@@ -43,18 +44,27 @@ def literal_path(path: str) -> str:
 
 
 def file_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], T.StructType]]:
-    """Split the files into groups whose footers merge into one schema.
+    """Split the files into groups that one scan each can read; the paths come back escaped.
 
-    One distributed footer merge when all files agree; only a batch with conflicting
-    column types is halved until the halves agree.
+    One job reads all footers. Files in a store that only Spark's readers open are split
+    by merging footers there.
     """
+    groups, unread = grouped_by_schema(spark, paths)
+    made = [([literal_path(p) for p in held], schema) for held, schema in groups]
+    return made + _merged_groups(spark, [literal_path(p) for p in unread])
+
+
+def _merged_groups(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], T.StructType]]:
+    """Groups of files whose footers Spark can merge; files that conflict are halved."""
+    if not paths:
+        return []
     try:
-        return [(list(paths), merged_schema(spark, *paths))]
+        return [(paths, merged_schema(spark, *paths))]
     except (PySparkException, Py4JJavaError) as problem:
         if "CANNOT_MERGE_SCHEMAS" not in str(problem) or len(paths) == 1:
             raise
     middle = len(paths) // 2
-    return file_groups(spark, paths[:middle]) + file_groups(spark, paths[middle:])
+    return _merged_groups(spark, paths[:middle]) + _merged_groups(spark, paths[middle:])
 
 
 def widen(tracked: T.StructType, found: T.StructType) -> T.StructType:
@@ -159,7 +169,7 @@ def start_ingest(
         target = f"{flow_root}/batch_id={batch_id}"
         if storage.is_complete(session, target):
             return
-        paths = sorted(literal_path(row.path) for row in found.select("path").collect())
+        paths = sorted(row.path for row in found.select("path").collect())
         if not paths:
             return
         groups = file_groups(session, paths)

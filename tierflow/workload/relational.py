@@ -664,6 +664,21 @@ def mutated_customer(t: Tables):
     return evolved.filter(F.pmod(key, F.lit(11)) != 0).unionByName(newcomers)
 
 
+@query(
+    """select * replace (case when o_orderstatus = 'P' then o_totalprice + 1 else o_totalprice end
+        as o_totalprice, case when o_orderstatus = 'P' then timestamp '2001-08-01'
+        else o_orderdate end as o_orderdate) from orders"""
+)
+def snapshot_stamped(t: Tables):
+    """Open orders cost one more and carry the day of the change; all others keep their date."""
+    return evolve_snapshot(
+        t.orders,
+        F.col("o_orderstatus") == "P",
+        {"o_totalprice": F.col("o_totalprice") + 1},
+        stamps={"o_orderdate": F.lit(AS_OF).cast("timestamp_ntz")},
+    )
+
+
 GROWN_SQL = """idx as (select *, row_number() over (
       order by c_custkey % 64, c_custkey) - 1 as i from customer),
   models as (select * exclude (i), row_number() over (

@@ -16,9 +16,11 @@ from tierflow.plans.mapping import transaction_rows
 from tierflow.plans.silver import enriched_transactions
 from tierflow.session import scratch
 from tierflow.sources import sinks, storage
-from tierflow.sources.files import scan_dated
+from tierflow.sources.filelist import FileList
+from tierflow.sources.files import scan_dated, scan_days
 from tierflow.streaming.append import append_stream, incremental_view, stream_files
 from tierflow.streaming.deltas import DeltaView
+from tierflow.streaming.expectations import expectation_counts, expected_rows, expecting_stream
 from tierflow.streaming.history import apply_history, history_rows
 from tierflow.streaming.ingest import INGESTED, RESCUED, ingest_files, read_ingested
 from tierflow.streaming.tables import append_flow, read_flows
@@ -221,6 +223,49 @@ def partitioned_scan(t: Tables):
     return scan_dated(t.spark, root)
 
 
+@query("select * from events where ts >= timestamp '2024-01-08' and ts < timestamp '2024-01-13'")
+def dated_folder_scan(t: Tables):
+    """Five days; the folders of all others are not listed."""
+    root = scratch(t.spark, "days")
+    parts = {"anio": F.year("ts"), "mes": F.month("ts"), "dia": F.dayofmonth("ts")}
+    t.events.withColumns(parts).hint("rebalance", *parts).write.partitionBy(*parts).parquet(root)
+    return scan_days(t.spark, root, datetime.date(2024, 1, 8), datetime.date(2024, 1, 12))
+
+
+@query(
+    """select l_orderkey, l_linenumber, l_quantity, l_discount, l_returnflag from lineitem
+    where l_quantity > 5"""
+)
+def stream_expect_or_drop(t: Tables):
+    return expected_items(t)[0]
+
+
+@query(
+    """select (l_returnflag = 'R')::bigint as batch_id, unnest(['bulk', 'discounted', 'keyed']) as expectation,
+      unnest(['drop', 'keep', 'fail']) as action, count(*) as n_rows,
+      unnest([count(*) filter (where l_quantity <= 5), count(*) filter (where coalesce(l_discount, 0) <= 0),
+        0]) as n_violations from lineitem group by l_returnflag = 'R'"""
+)
+def stream_expect_counts(t: Tables):
+    return expected_items(t)[1]
+
+
+def expected_items(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Two loads of lineitem through a stream with expectations: rows and counts."""
+    root = scratch(t.spark, "expect")
+    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag"]
+    returned = F.col("l_returnflag") == "R"
+    items = t.lineitem.select(*columns)
+    for part in (items.filter(~returned), items.filter(returned)):
+        part.write.mode("append").parquet(f"{root}/landing")
+        expecting_stream(
+            stream_files(t.spark, items.schema, f"{root}/landing"), f"{root}/table", f"{root}/metrics",
+            f"{root}/checkpoint", drop={"bulk": "l_quantity > 5"}, keep={"discounted": "l_discount > 0"},
+            fail={"keyed": "l_orderkey IS NOT NULL"},
+        )
+    return expected_rows(t.spark, f"{root}/table"), expectation_counts(t.spark, f"{root}/metrics")
+
+
 @query("select * from events")
 def recursive_scan(t: Tables):
     root = scratch(t.spark, "folders")
@@ -267,6 +312,24 @@ def compact_files(t: Tables):
     return t.spark.read.parquet(f"{root}/few")
 
 
+@query("select * from orders")
+def compact_incremental(t: Tables):
+    """Many small files, packed after each load; the second time only new files are rewritten."""
+    table = FileList(t.spark, scratch(t.spark, "file-list"))
+    for part in halves(t.orders):
+        table.append(part.repartition(24))
+        table.compact(target_bytes=128 << 10, order=["o_orderdate"])
+    return table.read()
+
+
+@query("select * from orders where o_custkey between 100 and 120")
+def nested_layout(t: Tables):
+    """A filter on the second cluster column, which skips most files."""
+    path = scratch(t.spark, "nested")
+    sinks.write_nested(t.orders, path, ["o_orderdate", "o_custkey"], file_bytes=16 << 10)
+    return t.spark.read.parquet(path).filter(F.col("o_custkey").between(100, 120))
+
+
 @query("select * from lineitem")
 def balanced_write(t: Tables):
     path = scratch(t.spark, "balanced")
