@@ -16,22 +16,31 @@ TITLES = {
     ],
     "n": ["Dr", "Prof", "Mx", "Доктор"],
 }
-_ANY_TITLE = "|".join(t for group in TITLES.values() for t in group)
+_ANY_TITLE = "|".join(f"{t}|{t.upper()}" for group in TITLES.values() for t in group)
+# Particles that stand inside a name.
+PARTICLES = ["van", "von", "der", "den", "de", "del", "della", "di", "da", "dos", "du", "la", "le", "ten", "zu", "y"]
 _EDGE = r"(?<![\p{L}\p{N}])"
-_WORD = r"\p{Lu}\p{Ll}{1,30}(?![\p{L}\p{N}])"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+)+"
 IP = r"(?<![\p{L}\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)(?!\p{L})"
+IP6 = (
+    r"(?<![\p{L}\p{N}:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){1,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,4})?)(?![\p{L}\p{N}:])"
+)
 SSN = _EDGE + r"\d{3}-\d{2}-\d{4}(?![-\p{L}\d])"
 CARD = _EDGE + r"(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,3})?)(?![\p{L}\d])"
 PHONE = (
     r"(?<![\p{L}\d])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
     r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\p{L}\d])"
 )
-NAME = (
-    rf"(?<={_EDGE}(?:{_ANY_TITLE})\.?\x20){_WORD}"
-    rf"|(?<={_EDGE}(?:{_ANY_TITLE})\.?\x20\p{{Lu}}\p{{Ll}}{{1,30}}\x20){_WORD}"
-)
-ENTITY = "|".join([EMAIL, IP, SSN, CARD, PHONE, NAME])
+#: A word of a name: capital first, perhaps with hyphens and apostrophes.
+WORD = r"\p{Lu}[\p{L}\p{M}]*+(?:['’-]\p{L}[\p{L}\p{M}]*+)*+"
+_NEXT = rf"(?:(?:{'|'.join(PARTICLES)})\x20){{0,2}}{WORD}"
+#: A form of address and up to four words, read forwards: nothing is looked for behind.
+NAME = rf"{_EDGE}(?=\p{{Lu}})(?:{_ANY_TITLE})\.?\x20{_NEXT}(?:\x20{_NEXT}){{0,3}}"
+ENTITY = "|".join([EMAIL, IP, IP6, SSN, CARD, PHONE, NAME])
+#: Stands on both sides of an entity in a marked text; `ESCAPED` is what becomes of its first
+#: character where a text holds it.
+MARK, ESCAPE, ESCAPED = "\x01\x03", "\x01", "\x01\x02"
 #: Draws of one entity, at most, before the space of its kind counts as exhausted.
 MAX_DRAWS = 40
 
@@ -40,21 +49,15 @@ CYRILLIC = ["ба", "ве", "га", "до", "же", "за", "ки", "ла", "л
 LETTERS, CYRILLIC_LETTERS = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшщэюя"
 
 
-def _title(gender: str) -> str:
-    return rf"{_EDGE}(?:{'|'.join(TITLES[gender])})\.?\x20$"
-
-
-def _kind(hit: Column, before: Column, after: Column) -> Column:
-    """Kind of an entity; the first of two name words is a given name of the title's gender."""
-    given = F.when(before.rlike(_title("m")), "given_m").when(before.rlike(_title("f")), "given_f")
+def _kind(hit: Column) -> Column:
     return (
         F.when(hit.contains("@"), "email")
         .when(hit.rlike(rf"^(?:{IP})$"), "ip")
+        .when(hit.rlike(rf"^(?:{IP6})$"), "ip6")
         .when(hit.rlike(rf"^(?:{SSN})$"), "ssn")
         .when(hit.rlike(rf"^(?:{CARD})$"), "card")
         .when(hit.rlike(r"^[+(\d]"), "phone")
-        .when((before == " ") | (after != " "), "surname")
-        .otherwise(given.otherwise("given_n"))
+        .otherwise("name")
     )
 
 
@@ -63,18 +66,70 @@ def _norm(hit: Column, kind: Column) -> Column:
     return F.when(kind.isin("ssn", "card", "phone"), F.regexp_replace(hit, r"\D", "")).otherwise(F.lower(hit))
 
 
+def _entity(kind: Column, hit: Column) -> Column:
+    return F.struct(kind.alias("kind"), _norm(hit, kind).alias("norm"), hit.alias("hit"))
+
+
+def _marked(text: Column, pattern: Column | str) -> Column:
+    """The text cut at its entities: every second part is one. One pass of the pattern."""
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    return F.split(F.regexp_replace(text, pattern, F.lit(f"{MARK}$0{MARK}")), MARK, -1)
+
+
+def _hits(parts: str) -> Column:
+    return F.filter(parts, lambda _, k: k % 2 == 1)
+
+
+_TITLED = rf"^(?:{_ANY_TITLE})\.?\x20"
+
+
+def _name_words(hit: Column) -> Column:
+    """Words of a titled name with their kinds: the last is a surname, the others are given
+    names of the title's gender. Particles stay."""
+    words = F.filter(F.split(F.regexp_replace(hit, _TITLED, ""), " "), lambda w: w.rlike(r"^\p{Lu}"))
+
+    def titled(gender: str) -> Column:
+        return F.lower(hit).rlike(rf"^(?:{'|'.join(t.lower() for t in TITLES[gender])})\.?\x20")
+
+    given = F.when(titled("m"), "given_m").when(titled("f"), "given_f").otherwise("given_n")
+
+    def word(w: Column, k: Column) -> Column:
+        return F.struct(F.when(k == F.size(words) - 1, "surname").otherwise(given).alias("kind"), F.lower(w).alias("norm"), w.alias("hit"))
+
+    return F.transform(words, word)
+
+
 def with_entities(docs: DataFrame, text_col: str) -> DataFrame:
-    """Add `_gaps` (texts between entities) and `_found` (kind, norm, hit of each entity)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    cut = docs.withColumn("_hits", F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).withColumn(
-        "_gaps", F.split(text, ENTITY, -1)
-    )
+    """Adds `_parts`, the text cut at its entities, and `_names`, the words of the names in it.
 
-    def entity(hit: Column, at: Column) -> Column:
-        kind = _kind(hit, F.get("_gaps", at), F.get("_gaps", at + 1))
-        return F.struct(kind.alias("kind"), _norm(hit, kind).alias("norm"), hit.alias("hit"))
+    A name is found after a form of address. Its words are then found wherever they stand in
+    the same text, so a later bare mention is the same entity.
+    """
+    text = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), ESCAPE, ESCAPED)
+    cut = docs.withColumn("_parts", _marked(text, ENTITY))
+    named = F.filter(_hits("_parts"), lambda h: h.rlike(_TITLED))
+    words = F.array_distinct(F.flatten(F.transform(named, _name_words)))
+    return cut.withColumn("_names", words)
+
+
+def with_mentions(cut: DataFrame) -> DataFrame:
+    """Cuts the texts that hold names once more, at every mention of their words."""
+    spelled = F.array_join(F.array_distinct(F.transform("_names", lambda n: n["hit"])), "|")
+    bare = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), spelled, F.lit(r")(?![\p{L}\p{N}])"))
+    rest = "|".join([EMAIL, IP, IP6, SSN, CARD, PHONE])
+    again = _marked(F.array_join("_parts", ""), F.concat(F.lit(f"{rest}|"), bare))
+    return cut.withColumn("_parts", F.when(F.size("_names") > 0, again).otherwise(F.col("_parts")))
+
+
+def _found(parts: str = "_parts", names: str = "_names") -> Column:
+    """The entities of a cut text, in order."""
 
-    return cut.withColumn("_found", F.transform("_hits", entity)).drop("_hits")
+    def entity(hit: Column) -> Column:
+        kind = _kind(hit)
+        own = F.get(F.filter(names, lambda n: n["hit"] == hit), F.lit(0))["kind"]
+        return _entity(F.when(kind == "name", F.coalesce(own, F.lit("surname"))).otherwise(kind), hit)
+
+    return F.transform(_hits(parts), entity)
 
 
 def _number(digest: Column, at: Column | int) -> Column:
@@ -146,7 +201,9 @@ def surrogate(kind: Column, norm: Column, draw: Column, key: str) -> Column:
     octets = [(_number(digest, k) % 254 + 1).cast("string") for k in range(4)]
     ip = (
         F.when(norm.startswith("10."), F.concat_ws(".", F.lit("10"), *octets[1:]))
-        .when(norm.startswith("192.168."), F.concat_ws(".", F.lit("192.168"), *octets[2:]))
+        # 192.168 has few addresses: later draws go to the larger private range.
+        .when(norm.startswith("192.168.") & (draw < 6), F.concat_ws(".", F.lit("192.168"), *octets[2:]))
+        .when(norm.startswith("192.168."), F.concat_ws(".", F.lit("10"), *octets[1:]))
         .otherwise(F.concat_ws(".", (_number(digest, 0) % 111 + 11).cast("string"), *octets[1:]))
     )
     domain = F.substring_index(norm, "@", -1)
@@ -161,6 +218,7 @@ def surrogate(kind: Column, norm: Column, draw: Column, key: str) -> Column:
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", ip)
+        .when(kind == "ip6", _like(norm, digest, r"[0-9a-f]"))
         .when(kind == "ssn", F.substring(digits, 1, 9))
         .when(kind == "card", F.concat(body, last))
         .when(kind == "phone", phone)
@@ -168,23 +226,31 @@ def surrogate(kind: Column, norm: Column, draw: Column, key: str) -> Column:
     )
 
 
-def _formatted(kind: Column, hit: Column, core: Column) -> Column:
-    """The replacement in the format of the original: its separators, or its letter case."""
+def _like(text: Column, core: Column, taken: str) -> Column:
+    """The text with its characters of a class replaced by those of `core`, in order."""
 
     def fill(state: Column, c: Column) -> Column:
-        digit = c.rlike(r"\d")
-        put = F.when(digit, F.substring(core, state["at"], F.lit(1))).otherwise(c)
-        return F.struct(
-            F.concat(state["text"], put).alias("text"), (state["at"] + digit.cast("int")).alias("at")
-        )
+        mine = c.rlike(taken)
+        put = F.when(mine, F.substring(core, state["at"], F.lit(1))).otherwise(c)
+        return F.struct(F.concat(state["text"], put).alias("text"), (state["at"] + mine.cast("int")).alias("at"))
 
     start = F.struct(F.lit("").alias("text"), F.lit(1).alias("at"))
-    filled = F.aggregate(F.split(hit, ""), start, fill, lambda state: state["text"])
+    return F.aggregate(F.split(text, ""), start, fill, lambda state: state["text"])
+
+
+def _formatted(kind: Column, hit: Column, core: Column) -> Column:
+    """The replacement in the format of the original: its separators, or its letter case."""
+
+    filled = _like(hit, core, r"\d")
+    half = (F.length(core) / 2).cast("int")
+    hyphened = F.concat_ws("-", F.initcap(F.substring(core, F.lit(1), half)), F.initcap(F.substring(core, half + 1, F.length(core))))
+    name = F.when(hit.contains("-"), hyphened).otherwise(F.initcap(core))
+    loud = (hit == F.upper(hit)) & (F.length(hit) > 1)
     return (
         F.when(kind.isin("ssn", "card", "phone"), filled)
-        .when(kind == "email", F.when(hit == F.upper(hit), F.upper(core)).otherwise(core))
+        .when(kind.isin("email", "ip6"), F.when(loud, F.upper(core)).otherwise(core))
         .when(kind == "ip", core)
-        .otherwise(F.initcap(core))
+        .otherwise(F.when(loud, F.upper(core)).otherwise(name))
     )
 
 
@@ -221,26 +287,33 @@ def draws(found: DataFrame, key: str) -> DataFrame:
 def with_surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """The documents with personal data replaced, and `n_entities`, the number replaced.
 
-    E-mail addresses, IP and phone numbers, card and social security numbers, and names
-    after a form of address get surrogates of the same kind and format, keyed by `key`:
-    one entity has one surrogate in the whole corpus, however it is written, and different
-    entities have different ones (see `draws`). Gender follows the title, script the name,
-    valid card numbers stay valid, and addresses of one domain stay together.
-
-    The first draw needs no lookup. Only entities that had to draw again are looked up,
-    by a digest of the texts that hold them; where there are none, the texts are rewritten
-    in one pass without a shuffle. Equal entities combine on the map side before they are
-    compared, so a hot one costs one row per task.
-
-    Null texts stay null; rows may repeat; other columns stay, whatever their names. If
-    n_entities is taken, the number's name gets underscores. An empty table gives no rows.
+    E-mail addresses, IP and phone numbers, card and social security numbers, and names get
+    surrogates of the same kind and format, keyed by `key`: one entity has one surrogate in
+    the whole corpus, however it is written, and different entities have different ones
+    (see `draws`). A name is found after a form of address, and from then on its words wherever they stand in the
+    same text. Gender follows the title, script the name, valid card numbers stay valid,
+    and addresses of one domain stay together.
+
+    Every text is searched once, and stored in its parts. The first draw needs no lookup.
+    Only entities that had to draw again are looked up, by a digest of the entities of a text;
+    where there are none, the texts are put together without a shuffle. Equal entities combine on the
+    map side before they are compared, so a hot one costs one row per task.
+
+    Null texts stay null; rows may repeat; very long texts are read whole; other columns
+    stay, whatever their names. If n_entities is taken, the number's name gets
+    underscores. An empty table gives no rows.
     """
+    others = [c for c in docs.columns if c != text_col]
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).alias("_raw")
-    )
-    cut = with_entities(rows, "_raw")
-    exploded = with_entities(rows.select("_raw"), "_raw").select(
-        F.xxhash64("_raw").alias("_key"), F.explode("_found").alias("e")
+        F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias("_")).alias("_row") if others
+        else F.struct(F.lit(0).alias("_")).alias("_row"),
+        F.col(f"`{text_col}`").alias("_raw"),
+    )
+    cut = with_entities(rows, "_raw").withColumn("_null", F.col("_raw").isNull()).drop("_raw")
+    cut = stored(cut, "pii-parts")
+    whole = with_mentions(cut).select("_row", "_null", "_parts", _found().alias("_found"))
+    exploded = whole.filter(F.size("_parts") > 1).select(
+        F.xxhash64("_found").alias("_key"), F.explode("_found").alias("e")
     )
     exploded = stored(exploded.select("_key", "e.kind", "e.norm").distinct(), "pii-found")
     redrawn = stored(draws(exploded, key), "pii-redrawn")
@@ -249,7 +322,7 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFr
         return F.concat_ws("|", kind, norm)
 
     if redrawn.isEmpty():
-        known = cut.withColumn("_redrawn", F.create_map().cast("map<string,int>"))
+        known = whole.withColumn("_redrawn", F.create_map().cast("map<string,int>"))
     else:
         maps = (
             exploded.join(redrawn, ["kind", "norm"])
@@ -257,27 +330,24 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFr
             .groupBy("_key")
             .agg(F.map_from_entries(F.collect_set("entry")).alias("_redrawn"))
         )
-        known = cut.withColumn("_key", F.xxhash64("_raw")).join(maps, "_key", "left")
+        known = whole.withColumn("_key", F.xxhash64("_found")).join(maps, "_key", "left")
 
     def replaced(e: Column) -> Column:
         again = F.coalesce(F.element_at("_redrawn", name(e["kind"], e["norm"])), F.lit(0))
         return _formatted(e["kind"], e["hit"], surrogate(e["kind"], e["norm"], again, key))
 
-    new = F.array_join(
-        F.flatten(
-            F.zip_with(
-                "_gaps",
-                F.transform("_found", replaced),
-                lambda gap, put: F.array(gap, F.coalesce(put, F.lit(""))),
-            )
-        ),
-        "",
+    def part(p: Column, k: Column) -> Column:
+        kept = F.regexp_replace(p, ESCAPED, ESCAPE)
+        return F.when(k % 2 == 0, kept).otherwise(F.get("_new", F.floor(k / 2).cast("int")))
+
+    known = known.withColumn("_new", F.transform("_found", replaced))
+    text = F.when(F.size("_parts") > 1, F.array_join(F.transform("_parts", part), "")).otherwise(
+        F.regexp_replace(F.get("_parts", F.lit(0)), ESCAPED, ESCAPE)
     )
-    old = [F.col("_row")[c] for c in docs.columns]
     return known.select(
         *[
-            (F.when(F.col("_raw").isNotNull(), new) if c == text_col else value).alias(c)
-            for c, value in zip(docs.columns, old, strict=True)
+            (F.when(~F.col("_null"), text) if c == text_col else F.col("_row")[c]).alias(c)
+            for c in docs.columns
         ],
         F.size("_found").cast("bigint").alias(free_name(docs.columns, "n_entities")),
     )
@@ -287,7 +357,7 @@ def leftovers(before: DataFrame, after: DataFrame, text_col: str = "text") -> Da
     """Entities of the original texts that still occur, as entities, in the new ones."""
 
     def entities(df: DataFrame) -> DataFrame:
-        rows = with_entities(df.select(text_col), text_col).select(F.explode("_found").alias("e"))
+        rows = with_mentions(with_entities(df.select(text_col), text_col)).select(F.explode(_found()).alias("e"))
         return rows.select("e.kind", "e.norm").distinct()
 
     return entities(after).join(entities(before), ["kind", "norm"], "left_semi")

@@ -137,10 +137,14 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Setting that holds the secret key of the surrogates; the fallback is for tables without secrets.
+SURROGATE_KEY = "spark.tierflow.surrogate.key"
+
+
 @_query
 def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return with_surrogates(docs, key="surrogates of the documents table")
+    return with_surrogates(docs, key=spark.conf.get(SURROGATE_KEY, "synthetic documents"))
 
 
 @_query
