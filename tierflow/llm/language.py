@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,13 @@ BLOCK_CHARS = 1024
 LEVEL = 5
 #: Blocks this short are compressed at a stronger level, which finds shorter matches.
 SHORT_CHARS, SHORT_LEVEL = 160, 19
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
+
+
+def _piece(text: Column, size: int) -> Column:
+    """Code points from a place that the text's hash chooses, so that common openings count no more."""
+    places = F.greatest(F.length(text) - size, F.lit(0)) + 1
+    return F.substring(text, F.pmod(F.xxhash64(text), places).cast("int") + 1, F.lit(size))
 
 
 def learn_dictionaries(
@@ -58,7 +64,7 @@ def learn_dictionaries(
     texts = usable.select(
         F.col(lang_col).alias("lang"),
         F.col(id_col).alias("id"),
-        F.substring(text_col, 1, sample_chars).alias("piece"),
+        _piece(F.col(text_col), sample_chars).alias("piece"),
     )
     # At most sample_docs rows per language, hence small enough to send to every task.
     same = texts["lang"].eqNullSafe(chosen["lang"]) & texts["id"].eqNullSafe(chosen["id"])
@@ -148,6 +154,13 @@ def predict_language(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from labelled(batches)
+        finally:
+            # Workers live on: the next stage needs their memory.
+            _compressors.cache_clear()
+
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [classify(t.as_py(), model) for t in batch.column(at)]
             langs = pa.array([f[0] for f in found], pa.string())

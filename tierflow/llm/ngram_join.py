@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.common import free_name, shuffle_partitions, stored
 from tierflow.llm.components import components
-from tierflow.llm.shingles import overlap, packed, set_digest, shingle_set, unpacked
+from tierflow.llm.shingles import overlap, packed, set_digest, shingle_set, shingle_sets, unpacked
 
 #: Shingles in more documents than HEAVY are told apart by frequency, the HEAVY_KEYS most
 #: frequent at most (12 bytes each go to every task).
@@ -50,8 +50,7 @@ def _profile(width: int, keep_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests, entities = [], [], []
-            for text in batch.column(1):
-                found = shingle_set(text.as_py(), width)
+            for found in shingle_sets(batch.column(1), width):
                 sizes.append(len(found))
                 digests.append(set_digest(found) if len(found) else None)
                 entities.append(entity_of(digests[-1]) if len(found) else None)
@@ -101,8 +100,7 @@ def _counted(width: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, held, seen = [], 0, set()
         for batch in batches:
-            for text in batch.column(1):
-                found = shingle_set(text.as_py(), width)
+            for found in shingle_sets(batch.column(1), width):
                 if not len(found) or (digest := set_digest(found)) in seen:
                     continue
                 seen.add(digest)
@@ -204,8 +202,7 @@ def _postings(width: int, bits: int, percent: int, heavy: tuple[np.ndarray, np.n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held, seen = [], 0, set()
         for batch in batches:
-            for text in batch.column(1):
-                shingles = shingle_set(text.as_py(), width)
+            for shingles in shingle_sets(batch.column(1), width):
                 size = len(shingles)
                 if not size or (digest := set_digest(shingles)) in seen:
                     continue
@@ -265,10 +262,10 @@ def _verified(width: int, percent: int):
         last, right = None, None
         for batch in batches:
             x, y = [], []
-            for row in batch.to_pylist():
+            lefts = shingle_sets(batch.column("text_x"), width)
+            for row, left in zip(batch.to_pylist(), lefts, strict=True):
                 if row["y"] != last:
                     last, right = row["y"], shingle_set(row["text_y"], width)
-                left = shingle_set(row["text_x"], width)
                 common = overlap(left, right)
                 if 100 * common >= percent * (len(left) + len(right) - common):
                     x.append(row["x"])
@@ -450,7 +447,7 @@ def _counted_links(width: int, percent: int):
     def run(table: pa.Table) -> pa.Table:
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         own, copies = table.column("own").to_numpy(), table.column("copies").to_numpy()
-        sets = [shingle_set(text.as_py(), width) for text in table.column("text")]
+        sets = list(shingle_sets(table.column("text").combine_chunks(), width))
         sizes = np.array([len(x) for x in sets])
         count = len(sets)
         _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)

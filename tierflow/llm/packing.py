@@ -17,21 +17,24 @@ from pyspark.sql import functions as F
 from tierflow.llm.common import stored
 
 END_ID = 0
-#: Column generation stops at this relative gap to the dual bound, or after so many columns.
-GAP, MAX_COLUMNS = 0.002, 4000
-#: Lengths count in units of so many tokens, rounded up, which keeps the program small.
-UNIT = 4
+#: Column generation stops at this relative gap to the best known lower bound, or after so many
+#: columns; the plan is never worse than best fit, which counts too.
+GAP, MAX_COLUMNS = 0.005, 300
+#: Lengths count in units of so many tokens, rounded up.
+UNIT = 1
+#: The one special token of the vocabulary, with its id.
+SPECIAL = {"<|endoftext|>": 50256}
 FACTS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
 
 
 @lru_cache(maxsize=2)
 def encoder(ranks_path: str, pattern: str):
-    """Byte-level BPE from a file of base64 tokens and ranks (ids equal the ranks)."""
+    """Byte-level BPE from a file of base64 tokens and ranks (ids equal the ranks), and its special token."""
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 def _price(duals: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -55,25 +58,55 @@ def _price(duals: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[float
     return float(best[capacity]), column
 
 
+def _first_fit_basis(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns filled with the longest lengths that are left, each used until one of them is spent.
+
+    Uses may be fractions, so every pattern spends at least one length: a triangular basis.
+    """
+    left = demand.astype(float)
+    columns, rates = np.zeros((len(lengths), len(lengths))), np.zeros(len(lengths))
+    open_ = left > 0
+    while open_.any():
+        room, column = capacity, np.zeros(len(lengths))
+        for k in np.flatnonzero(open_)[::-1]:
+            if lengths[k] <= room:
+                column[k] = room // lengths[k]
+                room -= int(column[k]) * lengths[k]
+                if room < lengths[0]:
+                    break
+        used = np.flatnonzero(column)
+        spent = used[(left[used] / column[used]).argmin()]
+        times = left[spent] / column[spent]
+        left[used] = np.maximum(left[used] - times * column[used], 0)
+        left[spent], open_[spent] = 0, False
+        columns[:, spent], rates[spent] = column, times
+    return columns, rates
+
+
 def column_generation(
     lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP, limit: int = MAX_COLUMNS
 ) -> tuple[np.ndarray, np.ndarray]:
     """Basic columns (length x pattern) and rates of the relaxed cutting-stock program.
 
     Minimise the number of sequences so that every length is covered exactly. The revised
-    simplex method starts from one-length patterns; the knapsack prices new columns until
-    the objective is within `gap` of the bound objective / best value.
+    simplex method starts from first-fit patterns; the knapsack prices new columns until the
+    objective is within `gap` of the best lower bound seen: all tokens over the capacity, or the
+    objective over the best pattern's value. Demands are raised by tiny different amounts, which
+    breaks ties between ratios, so that no basis comes twice.
     """
-    columns = np.diag((capacity // lengths).astype(float))
-    inverse, rates = np.diag(1.0 / np.diag(columns)), demand / np.diag(columns)
+    nudged = demand * (1 + 1e-9 * np.random.default_rng(0).random(len(demand)))
+    columns, rates = _first_fit_basis(lengths, nudged, capacity)
+    inverse = np.linalg.inv(columns)
+    bound = float(lengths @ demand) / capacity
     for _ in range(limit):
+        if rates.sum() <= bound * (1 + gap):
+            break
         duals = inverse.sum(axis=0)
         value, entering = _price(duals, lengths, capacity)
-        if value <= 1 + gap:
-            break
+        bound = max(bound, rates.sum() / max(value, 1))
         step = inverse @ entering
         usable = step > 1e-9
-        if not usable.any():
+        if value <= 1 + 1e-9 or not usable.any():
             break
         ratios = np.where(usable, rates / np.where(usable, step, 1), np.inf)
         out = int(ratios.argmin())
@@ -87,41 +120,74 @@ def column_generation(
     return columns, rates
 
 
+def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Bins for the pieces, the longest first, each where the least room is left over.
+
+    Equal pieces meet equal rooms at once: the work depends on the number of different
+    lengths and rooms, not of pieces.
+    """
+    rooms: dict[int, dict[tuple, int]] = {}
+    for size in sorted(left, reverse=True):
+        n = left[size]
+        while n:
+            room = min((r for r in rooms if r >= size), default=None)
+            if room is None:
+                held, per = (), capacity // size
+                bins, rest = divmod(n, per)
+                for count, copies in ((bins, per), (1, rest)):
+                    if count and copies:
+                        _add(rooms, capacity - copies * size, (*held, (size, copies)), count)
+                n = 0
+                continue
+            held, count = rooms[room].popitem()
+            if not rooms[room]:
+                del rooms[room]
+            per = room // size
+            bins = min(count, n // per)
+            if bins:
+                _add(rooms, room - per * size, (*held, (size, per)), bins)
+                n -= bins * per
+            if bins < count:
+                if n and n < per:
+                    _add(rooms, room - n * size, (*held, (size, n)), 1)
+                    bins, n = bins + 1, 0
+                if bins < count:
+                    _add(rooms, room, held, count - bins)
+    return [(dict(held), count) for room in sorted(rooms) for held, count in rooms[room].items()]
+
+
+def _add(rooms: dict[int, dict[tuple, int]], room: int, held: tuple, count: int) -> None:
+    same = rooms.setdefault(room, {})
+    same[held] = same.get(held, 0) + count
+
+
 def plan_patterns(
-    histogram: dict[int, int], capacity: int, gap: float = GAP, limit: int = MAX_COLUMNS
+    histogram: dict[int, int], capacity: int, gap: float = GAP
 ) -> list[tuple[dict[int, int], int]]:
     """Patterns (pieces per length) with their multiplicities, covering the histogram exactly.
 
-    Rates are rounded down; what is left over is packed by best fit, longest first. The
-    work depends on the number of different lengths (at most `capacity`), not of pieces.
+    Rates are rounded down; what is left over is packed by best fit. Best fit alone is the plan if it
+    needs fewer sequences. The work depends on the number of different lengths (at most
+    `capacity`), not of pieces.
     """
     plan = [({capacity: 1}, histogram[capacity])] if histogram.get(capacity) else []
     lengths = np.array(sorted(n for n, c in histogram.items() if c and n < capacity), dtype=int)
     if not len(lengths):
         return plan
     demand = np.array([histogram[n] for n in lengths], dtype=float)
-    columns, rates = column_generation(lengths, demand, capacity, gap, limit)
+    columns, rates = column_generation(lengths, demand, capacity, gap)
     left = np.array([histogram[n] for n in lengths], dtype=np.int64)
+    rounded = []
     for k in np.argsort(-rates):
-        column = columns[:, k].astype(np.int64)
+        column = np.rint(columns[:, k]).astype(np.int64)
         used = column > 0
         times = int(min(np.floor(rates[k] + 1e-6), (left[used] // column[used]).min()))
         if times > 0:
             left -= times * column
-            plan.append(({int(lengths[i]): int(column[i]) for i in np.flatnonzero(used)}, times))
-    rooms: dict[int, list[dict[int, int]]] = defaultdict(list)
-    for i in range(len(lengths) - 1, -1, -1):
-        size = int(lengths[i])
-        for _ in range(int(left[i])):
-            room = next((r for r in range(size, capacity) if rooms[r]), capacity)
-            bin_ = rooms[room].pop() if room < capacity else {}
-            bin_[size] = bin_.get(size, 0) + 1
-            rooms[room - size].append(bin_)
-    merged: dict[tuple, int] = defaultdict(int)
-    for room in sorted(rooms):
-        for bin_ in rooms[room]:
-            merged[tuple(sorted(bin_.items(), reverse=True))] += 1
-    return plan + [(dict(p), n) for p, n in merged.items()]
+            rounded.append(({int(lengths[i]): int(column[i]) for i in np.flatnonzero(used)}, times))
+    rounded += _best_fit({int(n): int(c) for n, c in zip(lengths, left, strict=True) if c}, capacity)
+    plain = _best_fit({int(n): int(histogram[n]) for n in lengths}, capacity)
+    return plan + min(rounded, plain, key=lambda p: sum(n for _, n in p))
 
 
 def place_table(plan: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
@@ -141,7 +207,13 @@ def _pieces(id_type: str, capacity: int, unit: int, ranks_path: str, pattern: st
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "units", "part", "local_rank"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_path, pattern).encode_ordinary
+        model = encoder(ranks_path, pattern)
+
+        def encode(text: str) -> list[int]:
+            if any(token in text for token in SPECIAL):
+                return model.encode(text, allowed_special="all")
+            return model.encode_ordinary(text)
+
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             source, starts, lengths, sums, totals, units, ranks = ([] for _ in range(7))
@@ -209,13 +281,13 @@ def pack_documents(
     A document is its text's ids and then id 0 (a null text: only id 0). It is cut into
     full pieces and one rest. The histogram of piece lengths, in units of `unit` tokens (at
     most capacity / unit numbers, whatever the corpus), goes to the driver, which solves
-    the cutting-stock program: patterns of lengths from column generation, priced by a
-    knapsack, rounded down, the remainder by best fit. Pieces are ranked per length in
+    the cutting-stock program: patterns of lengths from column generation, which starts from
+    first-fit patterns and is priced by a knapsack, rounded down, the remainder by best fit. Pieces are ranked per length in
     input order (rank within the task that tokenised them plus the counts of earlier
     tasks, so no sort and no hot length), ranks are dealt to the patterns' places, and
     the pieces of a sequence (at most `capacity`) are laid end to end.
 
-    Special-token strings in a text are ordinary text. Ids and repeated rows need not be
+    The string of the vocabulary's special token is that token, as its tokenizer has it. Ids and repeated rows need not be
     unique: each row is packed on its own. Other columns are ignored. An empty table
     gives no rows.
 

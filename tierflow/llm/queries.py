@@ -127,12 +127,16 @@ def held_out() -> Column:
     return F.coalesce(fold, F.lit(False))
 
 
+#: Language predictions with a smaller margin are rejected.
+MIN_MARGIN = 0.002
+
+
 @_query
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     marked = docs.select("doc_id", "text", held_out().alias("held_out"))
     learned = learn_dictionaries(docs.filter(~held_out()))
-    return predict_language(marked, learned).select(
+    return predict_language(marked, learned, min_margin=MIN_MARGIN).select(
         "doc_id", "held_out", "lang_pred", "score", "rejected"
     )
 

@@ -2,49 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 import zstandard
 
-#: Odd multipliers that give each word of a shingle its place, and the final mix.
-PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0x85EBCA77C2B2AE63)
-MIX = np.uint64(0xFF51AFD7ED558CCD)
-CACHED_WORDS = 1_000_000
-
-
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
+from tierflow.llm.wordhash import Words, pieces, window_hashes
 
-_WORDS = _WordHash()
 
+def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of every text, many texts at a time.
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words between white space (0x20, 0x09 to 0x0D), with A-Z lower-cased."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+    Words lie between white space (0x20, 0x09 to 0x0D), with A-Z lower-cased. A text of
+    fewer than `width` words is one shingle; a text without words, or null, has none.
+    """
+    for _, some in pieces(texts):
+        words = Words(some, fold=True)
+        runs = window_hashes(words.hashes, width)
+        for first, last in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist(), strict=True):
+            if last - first >= width:
+                yield np.unique(runs[first : last - width + 1])
+            elif last > first:
+                whole = xxhash.xxh64_intdigest(words.text(first, last), seed=last - first)
+                yield np.array([whole], np.uint64)
+            else:
+                yield np.empty(0, np.uint64)
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct shingle hashes; a text of fewer words is one shingle, none gives none."""
-    words = words_of(text)
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) < width:
-        whole = xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))
-        return np.array([whole], np.uint64)
-    hashes = np.array([_WORDS[w] for w in words], np.uint64)
-    count = len(words) - width + 1
-    mixed = np.zeros(count, np.uint64)
-    for place in range(width):
-        mixed += hashes[place : place + count] * np.uint64(PLACES[place])
-    mixed ^= mixed >> np.uint64(33)
-    mixed *= MIX
-    mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed)
+    """The shingles of one text."""
+    return next(shingle_sets(pa.array([text], pa.string()), width))
 
 
 def set_digest(shingles: np.ndarray) -> bytes:

@@ -187,15 +187,18 @@ def _searched(threshold: float):
 
 
 def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """Distinct usable vectors: node (smallest id), vector, dim, copies."""
+    """Distinct usable vectors: node (smallest id), vector, dim, copies (distinct ids).
+
+    Equal rows are one, so that a repeated id is nobody's partner twice; a row without an id is none.
+    """
     odd = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("vector").isNotNull() & ~odd & F.exists("vector", lambda x: x != 0)
     named = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vector"))
     return (
-        named.filter(F.coalesce(usable, F.lit(False)))
+        named.filter(F.coalesce(usable, F.lit(False)) & F.col("id").isNotNull())
+        .distinct()
         .groupBy("vector")
         .agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"))
-        .filter("node is not null")
         .withColumn("dim", F.size("vector"))
     )
 

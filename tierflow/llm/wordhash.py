@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 PIECE_BYTES = 1 << 20
 #: Odd multipliers of the byte and of the word polynomials, modulo 2 ** 64.
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -78,17 +79,20 @@ def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, pa.
 class Words:
     """The words of some texts: where they lie in `data`, their hashes, and the words of each text.
 
-    Words are runs of bytes other than 0x20 and 0x09 to 0x0D, unchanged. Null texts have none.
+    Words are runs of bytes other than 0x20 and 0x09 to 0x0D, unchanged, or with A-Z
+    lower-cased. Null texts have none.
     The words of text `k` are numbers `bounds[k]` to `bounds[k + 1]`.
     """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, fold: bool = False):
         whole = texts.cast(pa.large_binary()).fill_null(b"")
         offsets = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
         base = int(offsets[0]) if len(offsets) else 0
         raw = whole.buffers()[2]
         end = int(offsets[-1]) if len(offsets) else 0
         self.data = np.frombuffer(raw, np.uint8)[base:end] if raw else np.empty(0, np.uint8)
+        if fold:
+            self.data = LOWER[self.data]
         edges = offsets - base
         inside = ~SPACE[self.data]
         before = np.zeros(len(inside), bool)
