@@ -58,13 +58,18 @@ def _price(duals: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[float
     return float(best[capacity]), column
 
 
-def _first_fit_basis(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def _first_fit_basis(
+    lengths: np.ndarray, demand: np.ndarray, capacity: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Patterns filled with the longest lengths that are left, each used until one of them is spent.
 
-    Uses may be fractions, so every pattern spends at least one length: a triangular basis.
+    Uses may be fractions, so every pattern spends at least one length. No later pattern holds it, so
+    the basis is triangular and its inverse changes in the rows of the pattern's lengths only.
     """
     left = demand.astype(float)
     columns, rates = np.zeros((len(lengths), len(lengths))), np.zeros(len(lengths))
+    single = (capacity // lengths).astype(float)
+    inverse = np.diag(1 / single)
     open_ = left > 0
     while open_.any():
         room, column = capacity, np.zeros(len(lengths))
@@ -80,7 +85,11 @@ def _first_fit_basis(lengths: np.ndarray, demand: np.ndarray, capacity: int) ->
         left[used] = np.maximum(left[used] - times * column[used], 0)
         left[spent], open_[spent] = 0, False
         columns[:, spent], rates[spent] = column, times
-    return columns, rates
+        row = inverse[spent] * (single[spent] / column[spent])
+        for k in used:
+            inverse[k] -= column[k] / single[k] * row
+        inverse[spent] = row
+    return columns, rates, inverse
 
 
 def column_generation(
@@ -95,16 +104,16 @@ def column_generation(
     breaks ties between ratios, so that no basis comes twice.
     """
     nudged = demand * (1 + 1e-9 * np.random.default_rng(0).random(len(demand)))
-    columns, rates = _first_fit_basis(lengths, nudged, capacity)
-    inverse = np.linalg.inv(columns)
-    bound = float(lengths @ demand) / capacity
+    columns, rates, inverse = _first_fit_basis(lengths, nudged, capacity)
+    bound = float((lengths * demand).sum()) / capacity
     for _ in range(limit):
         if rates.sum() <= bound * (1 + gap):
             break
         duals = inverse.sum(axis=0)
         value, entering = _price(duals, lengths, capacity)
         bound = max(bound, rates.sum() / max(value, 1))
-        step = inverse @ entering
+        held = np.flatnonzero(entering)
+        step = (inverse[:, held] * entering[held]).sum(axis=1)
         usable = step > 1e-9
         if value <= 1 + 1e-9 or not usable.any():
             break
