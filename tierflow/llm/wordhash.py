@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are hashed at a time; a longer text is a piece by itself.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 #: Odd multipliers of the byte and of the word polynomials, modulo 2 ** 64.
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
