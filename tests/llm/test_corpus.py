@@ -10,11 +10,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
 from tierflow.llm import exact_dedup, ngram_join, packing, secrets, vector_graph
+from tierflow.llm.common import stored
 from tierflow.llm.components import components
 from tierflow.llm.language import UNDECIDED, learn_dictionaries, predict_language
 from tierflow.llm.mixing import mixed, mixing_rates
@@ -197,6 +199,77 @@ def test_join_of_families_with_one_link_at_the_threshold(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == wanted
 
 
+def linked_sets(sets, percent):
+    """Pairs of positions that link, by Python sets."""
+    found = set()
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets):
+            common = len(x & y)
+            if x and y and 100 * common >= percent * (len(x) + len(y) - common):
+                found.add((a, b))
+    return found
+
+
+def test_blocks_of_visitors_and_members_give_the_smallest_member(monkeypatch):
+    """The matrix of a block, over several runs of columns, against Python sets."""
+    monkeypatch.setattr(ngram_join, "COLUMNS", 16)
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(60)]
+    texts = []
+    for k in range(40):
+        words = list(base)
+        for at in rng.integers(0, 60, size=k % 5):
+            words[at] = f"e{k}x{at}"
+        texts.append(" ".join(words))
+    texts += ["nothing in common with any other of these", "short one", "", None]
+    names = rng.permutation(len(texts)).tolist()
+    visitor = [k % 3 == 0 for k in range(len(texts))]
+    table = pa.table({"node": pa.array(names, pa.int64()), "text": texts, "visitor": visitor})
+    sets = [brute_join([(0, t)], 4, 85)[1][0] or set() for t in texts]
+    wanted = {}
+    for a, b in linked_sets(sets, 85):
+        if visitor[a] and not visitor[b]:
+            wanted[names[a]] = min(wanted.get(names[a], len(texts)), names[b])
+    found = ngram_join._first_links(4, 85)(table).to_pylist()
+    assert {r["x"]: r["y"] for r in found} == wanted and len(wanted) > 5
+    alone = table.filter(pa.array(visitor))
+    assert ngram_join._first_links(4, 85)(alone).num_rows == 0
+
+
+def test_components_that_nearly_link_cost_no_row_for_each_pair(spark, monkeypatch):
+    """Two families just below the threshold, and one member that joins two others."""
+    monkeypatch.setattr(ngram_join, "COUNTED_SETS", 5)
+    stored_rows = {}
+
+    def counted(df, name, **options):
+        table = stored(df, name, **options)
+        stored_rows[name] = max(stored_rows.get(name, 0), table.count())
+        return table
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    rng, rows, wanted = np.random.default_rng(3), [], {}
+    for group, apart in enumerate((13, 10)):
+        one = [f"g{group}w{k}" for k in range(300)]
+        spots = np.arange(10, 295, 23)[:apart]
+        other = [f"{w}b" if k in spots else w for k, w in enumerate(one)]
+        half = [f"{w}b" if k in spots[:5] else w for k, w in enumerate(one)]
+        family = [half] if group else []
+        for base in (one, other):
+            for j in range(40):
+                words = list(base)
+                words[rng.choice(np.setdiff1d(np.arange(4, 296), spots))] += f"m{j}{base[10][-1]}"
+                family.append(words)
+        part = [(1000 * group + k, " ".join(family[i])) for k, i in enumerate(rng.permutation(len(family)))]
+        rows += part
+        wanted |= brute_join(part, 4, 85)[0]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found, _ = jaccard_join(df, width=4, percent=85)
+    assert {r.doc_id: r.component_id for r in found.collect()} == wanted
+    assert len(set(wanted.values())) == 3
+    assert stored_rows["join-visits"] <= 2 * len(rows)
+    assert stored_rows["join-hosts"] <= 2 * len(rows)
+
+
 def test_links_of_each_document_are_counted(spark, monkeypatch):
     """A group with links and other pairs inside, equal sets, and blocks of few sets."""
     monkeypatch.setattr(ngram_join, "COUNTED_SETS", 7)

@@ -309,7 +309,7 @@ def jaccard_join(
     Documents with equal sets are one entity. For an entity with n shingles, every partner
     shares at least T = ceil(0.85 n). DivideSkip: the longest T - MATCHES lists are set
     aside, the remaining short lists (rarest shingles first, by counts over the whole
-    corpus) are merged, and pairs that meet MATCHES times there are candidates, whose
+    corpus) are merged, and the partners that meet often enough there are candidates, whose
     other shingles are probed by binary search in the partner's whole sorted set. Merging
     is one grouping by hash range, with lists beyond BLOCK documents cut into blocks.
 
@@ -317,8 +317,10 @@ def jaccard_join(
     members of lists beyond SHORT_LIST are first compared with the list's lead alone (and
     leads of blocks with each other); components are formed, and in ROUNDS more turns
     members outside a list's largest component are compared with one inside it. After
-    that only pairs from different components become candidates, and all of those do,
-    which loses no link between components.
+    that the lists are merged by set and component instead of by pair: a set visits each
+    other component that it meets often enough, and all members there that can be partners are
+    probed, in blocks. That loses no link between components, and no step makes
+    rows for the pairs of a group.
 
     Null or empty texts have no shingles and link with nothing. Rows that share an id are
     one document. Rows without an id stay in the result, in the component of an equal set
@@ -388,8 +390,10 @@ def jaccard_join(
         found = _links(pairs, _fetch(texts, pairs, nodes, width, kind), width, percent)
         links = stored(links.unionByName(found), "join-inward-links")
         parts = components(links, "x", "y")
-    rest = stored(_across(members, parts, percent), "join-across")
-    more = _links(rest, _fetch(texts, rest, nodes, width, kind), width, percent)
+    visits, hosts = _visits(members, parts, percent)
+    asked = visits.select("x").union(hosts.select("node")).select("x", F.col("x").alias("y"))
+    fetched = _fetch(texts, asked, nodes, width, kind)
+    more = _joined(visits, hosts, fetched, percent, width, kind)
     links = stored(links.unionByName(more), "join-all-links")
     parts = components(links, "x", "y")
 
@@ -522,104 +526,144 @@ def _inward(members: DataFrame, parts: DataFrame, percent: int, turn: int) -> Da
     )
 
 
-def _across(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs from different components that meet often enough in the merged lists.
+def _visits(members: DataFrame, parts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Sets with the other components that may hold a partner, and the members to look at there.
 
-    In each list all components but the largest are the minority. Minority members go to
-    every block of their list and meet all members of other components there, so a list
-    that one component fills costs nothing, and a long list is spread over its blocks.
-
-    A list is sent to its minority members as one row, and each of them merges the lists it
-    has got. A pair can meet on both its sides: in lists where one end is in the minority,
-    and in lists where the other is. So the meetings of each side are partial counts, added
-    up per pair before they are compared with what the sizes demand. A partial count is
-    dropped only if it stays too small with all lists that the other side can add: those in
-    which this end is in the largest component and the other one is not.
+    In each list all components but the largest are the minority. A minority member x meets
+    every other component of its list once, however many members that has there. So a list
+    that one component fills costs nothing, a list with two large ones costs its minority, and the
+    rows are those of sets and components, not of pairs.
 
     Sets of sizes n and m that link share at least alpha = ceil(percent (n + m) / (100 +
     percent)) shingles. The shared ones outside both merged prefixes lie beyond one of
-    the two, so at least alpha minus the longer remainder meet inside.
+    the two, so at least alpha minus the longer remainder meet inside. Partners meet where x is
+    in the minority, counted for x, or where x is in the largest component, which `inner`
+    lists are; so a component stays when both together can reach the least number asked for
+    by any size that it has there.
+
+    Returns (x, nx, c) and (c, node, n).
     """
     marked = _mixed(members, parts)
     # A node in fewer mixed lists than a partner asks for cannot be its partner.
-    minor = F.count(F.when(F.col("c") != F.col("major"), 1))
-    degree = marked.groupBy("node").agg(F.count(F.lit(1)).alias("lists"), minor.alias("minor"))
+    inner = F.count(F.when(F.col("c") == F.col("major"), 1)).alias("inner")
+    degree = marked.groupBy("node").agg(F.count(F.lit(1)).alias("lists"), inner)
     marked = stored(marked.join(degree, "node").filter(F.col("lists") >= F.least(
         F.lit(MATCHES), required_col("n", percent)
     )), "join-lists-mixed")
+    met = marked.groupBy("h", "c").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     few = marked.filter(F.col("c") != F.col("major")).select(
-        "h",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"),
-        F.col("node").alias("x"),
-        F.col("n").alias("nx"),
-        F.col("c").alias("cx"),
-        F.col("lists").alias("lx"),
-        (F.col("lists") - F.col("minor")).alias("inner"),
+        "h", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), "lists", "inner"
     )
-    inside = (F.col("c") == F.col("major")).alias("major")
-    entry = F.struct("node", "n", "c", "lists", "minor", inside)
-    lists = marked.groupBy("h", "block").agg(F.collect_list(entry).alias("entries"))
-
-    def possible(y: Column) -> Column:
-        # Two members of the minority meet twice; the pair with the smaller first counts.
-        once = y["major"] | (F.col("x") < y["node"])
-        similar = 100 * F.least("nx", y["n"]) >= percent * F.greatest("nx", y["n"])
-        asked = least_meetings(F.col("nx"), y["n"], percent)
-        return (y["c"] != F.col("cx")) & once & similar & (asked <= F.least("lx", y["lists"]))
-
-    met = (
-        few.join(lists, ["h", "block"])
-        .withColumn("found", F.filter("entries", possible))
-        .filter(F.size("found") > 0)
-        .select(
-            "x",
-            "nx",
-            "inner",
-            F.col("found.node").alias("y"),
-            F.col("found.n").alias("ny"),
-            F.col("found.minor").alias("my"),
-        )
+    low = F.greatest("low", required_col("nx", percent))
+    high = F.least("high", F.expr(f"(100 * nx) div {percent}"))
+    # Up to nx the number asked for grows with the size, above it falls, but for rounding.
+    ends = [least_meetings(F.col("nx"), F.col(end), percent) for end in ("low", "high")]
+    asked = F.least(ends[0], ends[1] - 1)
+    visits = (
+        few.join(met, "h")
+        .filter(F.col("c") != F.col("cx"))
+        .withColumns({"low": low, "high": high})
+        .filter("low <= high")
+        .filter(asked <= F.col("lists"))
+        .groupBy("x", "nx", "c", "inner")
+        .agg(F.count(F.lit(1)).alias("met"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .filter(F.col("met") + F.col("inner") >= asked)
+        .select("x", "nx", "c")
     )
-    kind = dict(members.dtypes)["node"]
-    sides = met.groupBy("x").applyInArrow(
-        _merged(percent), f"x {kind}, y {kind}, met bigint, asked bigint"
-    )
-    summed = sides.groupBy("x", "y").agg(F.sum("met").alias("met"), F.min("asked").alias("asked"))
-    return summed.filter("met >= asked").select("x", "y")
+    visits = stored(visits, "join-visits")
+    hosts = marked.select("c", "node", "n").distinct()
+    return visits, stored(hosts.join(visits.select("c").distinct(), "c", "left_semi"), "join-hosts")
 
 
-def least_meetings(n, m, percent: int):
-    """How often two sets of these sizes that link meet in the merged lists, at least."""
-    if isinstance(n, Column):
-        alpha = F.floor((percent * (n + m) + 99 + percent) / (100 + percent))
-        tail = [F.floor((percent * s + 99) / 100) for s in (n, m)]
-        return alpha - F.greatest(*[t - F.least(F.lit(MATCHES), t) for t in tail])
-    alpha = (percent * (n + m) + 99 + percent) // (100 + percent)
-    tail = [required(s, percent) for s in (n, m)]
-    return alpha - np.maximum(*[t - np.minimum(MATCHES, t) for t in tail])
+def _joined(
+    visits: DataFrame, hosts: DataFrame, texts: DataFrame, percent: int, width: int, kind: str
+) -> DataFrame:
+    """One link of each visitor with the members of a component that it visits, if there is any.
+
+    The members of a component are joined already, so one link says all. Visitors and
+    members are compared in blocks of about COUNTED_SETS sets or COUNTED_SHINGLES shingles.
+    """
+    blocks = [
+        side.groupBy("c").agg(
+            F.greatest(
+                F.ceil(F.count(F.lit(1)) / COUNTED_SETS), F.ceil(F.sum(size) / COUNTED_SHINGLES)
+            ).alias(name)
+        )
+        for side, size, name in ((visits, "nx", "left_blocks"), (hosts, "n", "right_blocks"))
+    ]
+    grid = stored(blocks[0].join(blocks[1], "c"), "join-grid")
+
+    def dealt(side: DataFrame, node: str, own: str, other: str) -> DataFrame:
+        """Rows of a side, once for every block of the other one."""
+        turns = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{other}_blocks") - 1))
+        return (
+            side.select("c", F.col(node).alias("node"))
+            .join(grid, "c")
+            .join(texts.select("node", "text"), "node")
+            .select(
+                "c", "node", "text", F.lit(own == "left").alias("visitor"),
+                F.pmod(F.xxhash64("node"), F.col(f"{own}_blocks")).alias(own), turns.alias(other),
+            )
+        )
 
+    placed = dealt(visits, "x", "left", "right").unionByName(dealt(hosts, "node", "right", "left"))
+    found = placed.groupBy("c", "left", "right").applyInArrow(
+        _first_links(width, percent), f"x {kind}, y {kind}"
+    )
+    return stored(found, "join-links")
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Common members of every set on the left with every set on the right."""
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    sides = []
+    for sets in (left, right):
+        keys = np.concatenate(sets)
+        column = np.minimum(np.searchsorted(shared, keys), max(len(shared) - 1, 0))
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        hit = shared[column] == keys if len(shared) else np.zeros(len(keys), bool)
+        order = np.argsort(column[hit], kind="stable")
+        sides.append((row[hit][order], column[hit][order], len(sets)))
+    common = np.zeros((len(left), len(right)))
+    for at in range(0, len(shared), COLUMNS):
+        both = []
+        for row, column, count in sides:
+            part = slice(*np.searchsorted(column, [at, at + COLUMNS]))
+            has = np.zeros((count, min(COLUMNS, len(shared) - at)), np.float32)
+            has[row[part], column[part] - at] = 1
+            both.append(has)
+        common += both[0] @ both[1].T
+    return common
 
-def _merged(percent: int):
-    """The inverted lists of one entity merged: how often the partners occur in them.
 
-    Partners that the other side cannot lift to the meetings asked for are left out.
-    """
+def _first_links(width: int, percent: int):
+    """The smallest member of a block that each visitor of another block links with."""
 
     def run(table: pa.Table) -> pa.Table:
-        x, n = table.column("x")[0].as_py(), table.column("nx")[0].as_py()
-        y = table.column("y").combine_chunks().flatten().to_numpy()
-        sizes = table.column("ny").combine_chunks().flatten().to_numpy()
-        others = table.column("my").combine_chunks().flatten().to_numpy()
-        nodes, first, met = np.unique(y, return_index=True, return_counts=True)
-        asked = least_meetings(n, sizes[first], percent)
-        more = np.minimum(others[first], table.column("inner")[0].as_py())
-        good = met + more >= asked
-        low, high = np.minimum(nodes[good], x), np.maximum(nodes[good], x)
-        return pa.table({"x": low, "y": high, "met": met[good], "asked": asked[good]})
+        names, kind = table.column("node"), table.schema.field("node").type
+        visitor = table.column("visitor").to_numpy()
+        if visitor.all() or not visitor.any():
+            return pa.table({"x": pa.array([], kind), "y": pa.array([], kind)})
+        sets = list(shingle_sets(table.column("text").combine_chunks(), width))
+        at, to = np.flatnonzero(visitor), np.flatnonzero(~visitor)
+        to = to[np.argsort(names.take(to).to_numpy(), kind="stable")]
+        left, right = [sets[k] for k in at], [sets[k] for k in to]
+        common = _overlaps(left, right)
+        n, m = np.array([len(s) for s in left]), np.array([len(s) for s in right])
+        link = (common > 0) & (100 * common >= percent * (n[:, None] + m[None, :] - common))
+        some = np.flatnonzero(link.any(axis=1))
+        return pa.table({"x": names.take(at[some]), "y": names.take(to[link[some].argmax(axis=1)])})
 
     return run
 
 
+def least_meetings(n: Column, m: Column, percent: int) -> Column:
+    """How often two sets of these sizes that link meet in the merged lists, at least."""
+    alpha = F.floor((percent * (n + m) + 99 + percent) / (100 + percent))
+    tail = [F.floor((percent * s + 99) / 100) for s in (n, m)]
+    return alpha - F.greatest(*[t - F.least(F.lit(MATCHES), t) for t in tail])
+
+
 def required_col(size: str, percent: int):
     return F.expr(f"({percent} * {size} + 99) div 100")
 
