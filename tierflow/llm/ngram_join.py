@@ -319,8 +319,9 @@ def jaccard_join(
     members outside a list's largest component are compared with one inside it. After
     that the lists are merged by set and component instead of by pair: a set visits each
     other component that it meets often enough, and all members there that can be partners are
-    probed, in blocks. That loses no link between components, and no step makes
-    rows for the pairs of a group.
+    probed, in blocks. That loses no link between components. A component costs each
+    visitor one row, whatever its size; sets that are still components of their own visit each other
+    pair by pair, which grows with the square of a group of such sets.
 
     Null or empty texts have no shingles and link with nothing. Rows that share an id are
     one document. Rows without an id stay in the result, in the component of an equal set
@@ -531,8 +532,8 @@ def _visits(members: DataFrame, parts: DataFrame, percent: int) -> tuple[DataFra
 
     In each list all components but the largest are the minority. A minority member x meets
     every other component of its list once, however many members that has there. So a list
-    that one component fills costs nothing, a list with two large ones costs its minority, and the
-    rows are those of sets and components, not of pairs.
+    that one component fills costs nothing and a list with two large ones costs its minority. Sets that no link has
+    joined to any other yet are components by themselves, and those rows are pairs.
 
     Sets of sizes n and m that link share at least alpha = ceil(percent (n + m) / (100 +
     percent)) shingles. The shared ones outside both merged prefixes lie beyond one of
