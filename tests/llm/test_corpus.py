@@ -270,6 +270,40 @@ def test_components_that_nearly_link_cost_no_row_for_each_pair(spark, monkeypatc
     assert stored_rows["join-hosts"] <= 2 * len(rows)
 
 
+def test_near_copies_that_do_not_link_cost_no_row_for_each_pair(spark, monkeypatch):
+    """Copies with two edits each, without and with the text that they were made from."""
+    monkeypatch.setattr(ngram_join, "COUNTED_SETS", 16)
+    stored_rows = {}
+
+    def counted(df, name, **options):
+        table = stored(df, name, **options)
+        stored_rows[name] = max(stored_rows.get(name, 0), table.count())
+        return table
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    rng, rows = np.random.default_rng(11), []
+    for group, edits in enumerate(((2, 2), (2, 3))):
+        base = [f"g{group}w{k}" for k in range(150)]
+        family = [" ".join(base)] if group else []
+        for k in range(80):
+            words = list(base)
+            for at in rng.choice(np.arange(0, 150, 5), edits[k % 2], replace=False):
+                words[at] = f"e{k}x{at}"
+            family.append(" ".join(words))
+        rows += [(1000 * group + k, family[i]) for k, i in enumerate(rng.permutation(len(family)))]
+    # Two that share an edit link with each other alone.
+    words = [f"g0w{k}" for k in range(150)]
+    for at in (20, 60, 100):
+        words[at] += "z"
+    rows += [(500 + k, " ".join([*words[:140], f"last{k}", *words[141:]])) for k in range(2)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found, _ = jaccard_join(df, width=4, percent=85)
+    wanted, _ = brute_join(rows, 4, 85)
+    assert {r.doc_id: r.component_id for r in found.collect()} == wanted
+    assert wanted[501] == 500 and len(set(wanted.values())) > 60
+    assert stored_rows["join-visits"] <= 4 * len(rows), stored_rows
+
+
 def test_links_of_each_document_are_counted(spark, monkeypatch):
     """A group with links and other pairs inside, equal sets, and blocks of few sets."""
     monkeypatch.setattr(ngram_join, "COUNTED_SETS", 7)

@@ -28,7 +28,8 @@ MAX_BROADCAST = 300_000
 #: Sets and shingles in a block when the links of a component are counted, about, and
 #: columns of the table of sets and shingles that are held at a time.
 COUNTED_SETS, COUNTED_SHINGLES, COLUMNS = 128, 1 << 20, 1 << 15
-#: Rounds in which members outside a list's largest component meet only one inside it.
+#: Rounds in which members outside a list's largest component meet only one inside it: the
+#: one with the fewest shingles of its own, then any.
 ROUNDS = 2
 
 
@@ -263,13 +264,14 @@ def _verified(width: int, percent: int):
         for batch in batches:
             x, y = [], []
             lefts = shingle_sets(batch.column("text_x"), width)
-            for row, left in zip(batch.to_pylist(), lefts, strict=True):
-                if row["y"] != last:
-                    last, right = row["y"], shingle_set(row["text_y"], width)
+            names = [batch.column(c).to_pylist() for c in ("x", "y")]
+            for at, (name, other, left) in enumerate(zip(*names, lefts, strict=True)):
+                if other != last:
+                    last, right = other, shingle_set(batch.column("text_y")[at].as_py(), width)
                 common = overlap(left, right)
                 if 100 * common >= percent * (len(left) + len(right) - common):
-                    x.append(row["x"])
-                    y.append(row["y"])
+                    x.append(name)
+                    y.append(other)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, batch.schema.field("x").type), pa.array(y, batch.schema.field("y").type)],
                 names=["x", "y"],
@@ -316,12 +318,13 @@ def jaccard_join(
     Groups of thousands of near copies would fill each list with pairs of one group. So
     members of lists beyond SHORT_LIST are first compared with the list's lead alone (and
     leads of blocks with each other); components are formed, and in ROUNDS more turns
-    members outside a list's largest component are compared with one inside it. After
-    that the lists are merged by set and component instead of by pair: a set visits each
-    other component that it meets often enough, and all members there that can be partners are
-    probed, in blocks. That loses no link between components. A component costs each
-    visitor one row, whatever its size; sets that are still components of their own visit each other
-    pair by pair, which grows with the square of a group of such sets.
+    members outside a list's largest component are compared with one inside it, first with
+    the one that has the fewest shingles of its own. After that the lists are merged by set and
+    group instead of by pair. A group is a component, or the single sets that meet the same head
+    often. A set visits each larger group that it meets often enough, and all
+    members there that can be partners are probed, in blocks; single sets also visit
+    their own group. That loses no link. A group costs each visitor one row and one more
+    per block of members; the probing itself is quadratic in a group of near copies.
 
     Null or empty texts have no shingles and link with nothing. Rows that share an id are
     one document. Rows without an id stay in the result, in the component of an equal set
@@ -380,8 +383,12 @@ def jaccard_join(
         .select("x", "y")
     )
     first = stored(sized, "join-leads")
+    # Shingles of a prefix that are in no list are the set's own.
+    prefix = F.col("n") - required_col("n", percent) + F.least(F.lit(MATCHES), required_col("n", percent))
+    held = lists.groupBy("e").agg(F.count(F.lit(1)).alias("held"))
     members = stored(
-        lists.join(entities, "e").select("h", "node", "n", "block", "blocks"), "join-members"
+        lists.join(entities, "e").join(held, "e").select("h", "node", "n", (prefix - F.col("held")).alias("lone")),
+        "join-members",
     )
     texts_of = _fetch(texts, first, nodes, width, kind)
     links = _links(first, texts_of, width, percent)
@@ -498,23 +505,41 @@ def _fetch(texts: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, kin
 
 
 def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """Lists with several components: members with their component and the largest one."""
-    known = members.join(parts, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    known = known.select("h", "node", "n", "block", "blocks", "c")
-    per_list = known.groupBy("h", "c").agg(F.count(F.lit(1)).alias("k"))
+    """Lists with several components: members with their component, the largest one in the list, and its head.
+
+    The head of a list is the component in it that is the largest anywhere; between equal ones
+    the set with the fewest shingles of its own decides.
+    """
+    weights = parts.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
+    known = (
+        members.join(parts.join(weights, "component"), "node", "left")
+        .withColumns({"c": F.coalesce("component", "node"), "weight": F.coalesce("weight", F.lit(1))})
+        .select("h", "node", "n", "lone", "c", "weight")
+    )
+    per_list = known.groupBy("h", "c").agg(
+        F.count(F.lit(1)).alias("k"), F.max("weight").alias("weight"), F.min("lone").alias("lone")
+    )
     mixed = (
         per_list.groupBy("h")
-        .agg(F.max(F.struct("k", "c")).alias("largest"), F.count(F.lit(1)).alias("parts"))
+        .agg(
+            F.max(F.struct("k", "c")).alias("largest"),
+            F.max(F.struct("weight", -F.col("lone"), "c")).alias("head"),
+            F.count(F.lit(1)).alias("parts"),
+        )
         .filter("parts > 1")
-        .select("h", F.col("largest.c").alias("major"), F.col("largest.k").alias("size"))
+        .select("h", F.col("largest.c").alias("major"), F.col("largest.k").alias("size"), F.col("head.c").alias("head"))
     )
     return stored(known.join(mixed, "h"), "join-mixed")
 
 
 def _inward(members: DataFrame, parts: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Members of long lists outside the largest component, each with one member inside it."""
+    """Members of long lists outside the largest component, each with one member inside it.
+
+    At first that is the one with the fewest shingles of its own: the text that near copies were
+    made from links with more of them than they do with each other.
+    """
     marked = _mixed(members, parts).filter(F.col("size") >= SHORT_LIST)
-    draw = F.struct(F.xxhash64("node", F.lit(turn)), "node", "n")
+    draw = F.struct(F.lit(0) if turn else F.col("lone"), F.xxhash64("node", F.lit(turn)), "node", "n")
     inside = F.col("c") == F.col("major")
     chosen = marked.filter(inside).groupBy("h").agg(F.min(draw).alias("one"))
     return (
@@ -528,33 +553,53 @@ def _inward(members: DataFrame, parts: DataFrame, percent: int, turn: int) -> Da
 
 
 def _visits(members: DataFrame, parts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Sets with the other components that may hold a partner, and the members to look at there.
+    """Sets with the other groups that may hold a partner, and the members to look at there.
 
-    In each list all components but the largest are the minority. A minority member x meets
-    every other component of its list once, however many members that has there. So a list
-    that one component fills costs nothing and a list with two large ones costs its minority. Sets that no link has
-    joined to any other yet are components by themselves, and those rows are pairs.
+    A group is a component, or the sets that no link has joined to any other yet and that meet
+    the same head half as often as sets that link must (`loose`). In each list a member meets
+    every larger group there once, however many members that has, so a list
+    that one group fills costs nothing. The members of a loose group also visit their own group.
 
     Sets of sizes n and m that link share at least alpha = ceil(percent (n + m) / (100 +
     percent)) shingles. The shared ones outside both merged prefixes lie beyond one of
-    the two, so at least alpha minus the longer remainder meet inside. Partners meet where x is
-    in the minority, counted for x, or where x is in the largest component, which `inner`
-    lists are; so a component stays when both together can reach the least number asked for
-    by any size that it has there.
+    the two, so at least alpha minus the longer remainder meet inside. Groups are ordered as a
+    whole, so that all these lists count for the member of the smaller one; a group stays when they
+    reach the least number asked for by any size that it has there.
 
-    Returns (x, nx, c) and (c, node, n).
+    Returns (x, nx, c, loose) and (c, loose, node, n).
     """
     marked = _mixed(members, parts)
     # A node in fewer mixed lists than a partner asks for cannot be its partner.
-    inner = F.count(F.when(F.col("c") == F.col("major"), 1)).alias("inner")
-    degree = marked.groupBy("node").agg(F.count(F.lit(1)).alias("lists"), inner)
-    marked = stored(marked.join(degree, "node").filter(F.col("lists") >= F.least(
-        F.lit(MATCHES), required_col("n", percent)
-    )), "join-lists-mixed")
-    met = marked.groupBy("h", "c").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    few = marked.filter(F.col("c") != F.col("major")).select(
-        "h", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), "lists", "inner"
+    degree = marked.groupBy("node", "n", "c", "weight").agg(F.count(F.lit(1)).alias("lists"))
+    degree = degree.filter(F.col("lists") >= F.least(F.lit(MATCHES), required_col("n", percent)))
+    home = (
+        marked.filter("weight = 1")
+        .groupBy("node", "n", "head")
+        .agg(F.count(F.lit(1)).alias("met"))
+        .filter(2 * F.col("met") >= F.greatest(F.lit(2 * MATCHES), least_meetings(F.col("n"), F.col("n"), percent)))
+        .groupBy("node")
+        .agg(F.max(F.struct("met", "head")).alias("home"))
+        .select("node", F.col("home.head").alias("home"))
+    )
+    grouped = stored(
+        degree.join(home, "node", "left").select(
+            "node", "n", "lists", F.coalesce("home", "c").alias("c"), F.col("home").isNotNull().alias("loose")
+        ),
+        "join-groups",
     )
+    group = ["c", "loose"]
+    ranks = grouped.groupBy(*group).agg(F.count(F.lit(1)).alias("sets"))
+    marked = stored(
+        marked.select("h", "node").join(grouped.join(ranks, group), "node")
+        .withColumn("rank", F.struct("sets", "c", "loose")),
+        "join-lists-mixed",
+    )
+    met = marked.groupBy("h", "rank").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("lists").alias("most")
+    )
+    larger = met.groupBy("h").agg(F.max("rank").alias("top"))
+    few = marked.select("h", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("rank").alias("own"), "lists")
+    few = few.join(larger, "h").filter("own < top").drop("top")
     low = F.greatest("low", required_col("nx", percent))
     high = F.least("high", F.expr(f"(100 * nx) div {percent}"))
     # Up to nx the number asked for grows with the size, above it falls, but for rounding.
@@ -562,58 +607,81 @@ def _visits(members: DataFrame, parts: DataFrame, percent: int) -> tuple[DataFra
     asked = F.least(ends[0], ends[1] - 1)
     visits = (
         few.join(met, "h")
-        .filter(F.col("c") != F.col("cx"))
+        .filter("own < rank")
         .withColumns({"low": low, "high": high})
         .filter("low <= high")
-        .filter(asked <= F.col("lists"))
-        .groupBy("x", "nx", "c", "inner")
+        .filter(asked <= F.least("lists", "most"))
+        .groupBy("x", "nx", "rank")
         .agg(F.count(F.lit(1)).alias("met"), F.min("low").alias("low"), F.max("high").alias("high"))
-        .filter(F.col("met") + F.col("inner") >= asked)
-        .select("x", "nx", "c")
+        .filter(F.col("met") >= asked)
+        .select("x", "nx", "rank.c", "rank.loose")
     )
+    together = grouped.join(ranks.filter("loose and sets > 1"), group)
+    visits = visits.unionByName(together.select(F.col("node").alias("x"), F.col("n").alias("nx"), *group))
     visits = stored(visits, "join-visits")
-    hosts = marked.select("c", "node", "n").distinct()
-    return visits, stored(hosts.join(visits.select("c").distinct(), "c", "left_semi"), "join-hosts")
+    hosts = grouped.select(*group, "node", "n")
+    return visits, stored(hosts.join(visits.select(*group).distinct(), group, "left_semi"), "join-hosts")
 
 
 def _joined(
     visits: DataFrame, hosts: DataFrame, texts: DataFrame, percent: int, width: int, kind: str
 ) -> DataFrame:
-    """One link of each visitor with the members of a component that it visits, if there is any.
+    """Links of visitors with the members of the groups that they visit, as many as matter.
 
-    The members of a component are joined already, so one link says all. Visitors and
+    The members of a component are joined already, so one link of a visitor says all. Visitors and
     members are compared in blocks of about COUNTED_SETS sets or COUNTED_SHINGLES shingles.
     """
+    group = ["c", "loose"]
     blocks = [
-        side.groupBy("c").agg(
+        side.groupBy(*group).agg(
             F.greatest(
                 F.ceil(F.count(F.lit(1)) / COUNTED_SETS), F.ceil(F.sum(size) / COUNTED_SHINGLES)
             ).alias(name)
         )
         for side, size, name in ((visits, "nx", "left_blocks"), (hosts, "n", "right_blocks"))
     ]
-    grid = stored(blocks[0].join(blocks[1], "c"), "join-grid")
+    grid = stored(blocks[0].join(blocks[1], group), "join-grid")
 
     def dealt(side: DataFrame, node: str, own: str, other: str) -> DataFrame:
         """Rows of a side, once for every block of the other one."""
         turns = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{other}_blocks") - 1))
         return (
-            side.select("c", F.col(node).alias("node"))
-            .join(grid, "c")
+            side.select(*group, F.col(node).alias("node"))
+            .join(grid, group)
             .join(texts.select("node", "text"), "node")
             .select(
-                "c", "node", "text", F.lit(own == "left").alias("visitor"),
+                *group, "node", "text", F.lit(own == "left").alias("visitor"),
                 F.pmod(F.xxhash64("node"), F.col(f"{own}_blocks")).alias(own), turns.alias(other),
             )
         )
 
     placed = dealt(visits, "x", "left", "right").unionByName(dealt(hosts, "node", "right", "left"))
-    found = placed.groupBy("c", "left", "right").applyInArrow(
+    found = placed.groupBy(*group, "left", "right").applyInArrow(
         _first_links(width, percent), f"x {kind}, y {kind}"
     )
     return stored(found, "join-links")
 
 
+def _spanning(link: np.ndarray) -> list[tuple[int, int]]:
+    """Row and column of the links that suffice to join all rows and columns that links join."""
+    rows = link.shape[0]
+    above = list(range(sum(link.shape)))
+
+    def root(k: int) -> int:
+        while above[k] != k:
+            above[k] = above[above[k]]
+            k = above[k]
+        return k
+
+    kept = []
+    for row, column in zip(*np.nonzero(link), strict=True):
+        a, b = root(int(row)), root(rows + int(column))
+        if a != b:
+            above[max(a, b)] = min(a, b)
+            kept.append((int(row), int(column)))
+    return kept
+
+
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Common members of every set on the left with every set on the right."""
     shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
@@ -638,7 +706,10 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def _first_links(width: int, percent: int):
-    """The smallest member of a block that each visitor of another block links with."""
+    """The smallest member of a block that each visitor of another block links with.
+
+    The members of a loose group are not joined yet: there the links that join all that link.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         names, kind = table.column("node"), table.schema.field("node").type
@@ -652,6 +723,9 @@ def _first_links(width: int, percent: int):
         common = _overlaps(left, right)
         n, m = np.array([len(s) for s in left]), np.array([len(s) for s in right])
         link = (common > 0) & (100 * common >= percent * (n[:, None] + m[None, :] - common))
+        if "loose" in table.column_names and table.column("loose")[0].as_py():
+            kept = np.array(_spanning(link), np.int64).reshape(-1, 2)
+            return pa.table({"x": names.take(at[kept[:, 0]]), "y": names.take(to[kept[:, 1]])})
         some = np.flatnonzero(link.any(axis=1))
         return pa.table({"x": names.take(at[some]), "y": names.take(to[link[some].argmax(axis=1)])})
 
