@@ -22,7 +22,7 @@ MATCHES = 4
 #: are cut into blocks of about that many documents.
 SHORT_LIST, BLOCK = 8, 4096
 #: Shingles that a task holds before it hands on what it has gathered.
-FLUSH = 2_000_000
+FLUSH = 500_000
 #: Texts that are fetched by sending their ids to every task (about 50 bytes each).
 MAX_BROADCAST = 300_000
 #: Sets and shingles in a block when the links of a component are counted, about, and
