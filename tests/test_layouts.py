@@ -13,7 +13,7 @@ from tierflow.sources import storage
 from tierflow.sources.filelist import FileList, first_fit
 from tierflow.sources.files import dated_folders, scan_days
 from tierflow.sources.footers import file_schema, grouped_by_schema
-from tierflow.sources.sinks import bucket_of, column_bounds, write_nested
+from tierflow.sources.sinks import bucket_of, column_bounds, ranges_for, write_nested
 from tierflow.streaming.ingest import file_groups, ingest_files, read_ingested
 
 
@@ -153,3 +153,9 @@ def test_compaction_rewrites_small_files_once(spark, as_rows):
     assert as_rows(table.read().filter("id > 59990")) == before
     with pytest.raises(ValueError, match="bigint"):
         table.append(spark.createDataFrame([("a",)], "id string"))
+
+
+def test_ranges_follow_the_memory_of_wide_rows():
+    assert ranges_for(1000, 70, 10_000) == 1
+    assert ranges_for(9_000_000, 70, 200 << 20) >= 9_000_000 * 70 * 8 / (512 << 20)
+    assert ranges_for(10, 2, 3 << 30) == 12

@@ -22,7 +22,7 @@ from tierflow.plans.gold import (
 from tierflow.plans.silver import customer_dimension, enriched_transactions
 from tierflow.session import join_path
 from tierflow.sources import storage
-from tierflow.sources.sinks import cluster_rows, current_view, files_for, refresh_view
+from tierflow.sources.sinks import cluster_rows, current_view, ranges_for, refresh_view
 from tierflow.streaming.ingest import committed_batches, read_ingested, start_ingest
 from tierflow.streaming.tables import for_each_batch
 
@@ -85,8 +85,10 @@ def refresh_facts(spark: SparkSession, root: str, file_bytes: int = 256 << 20) -
         for n in landed:
             if storage.is_complete(own, f"{facts}/batch_id={n}"):
                 continue
-            made = enriched_transactions(read_ingested(own, bronze, batches=[n]))
-            files = files_for(_bytes(own, f"{bronze}/flow=main/batch_id={n}"), file_bytes)
+            arrived = read_ingested(own, bronze, batches=[n])
+            made = enriched_transactions(arrived)
+            size = _bytes(own, f"{bronze}/flow=main/batch_id={n}")
+            files = ranges_for(arrived.count(), len(made.columns), size, file_bytes)
             clustered = cluster_rows(made, contracts.CLUSTERING[FACTS], files, ["identificador_transaccion"])
             clustered.write.mode("overwrite").parquet(f"{facts}/batch_id={n}")
             written.append(n)
@@ -138,7 +140,7 @@ def refresh_all(
     """Bring silver and gold up to date with bronze; returns the four tables.
 
     The fact table and the ATM view take only the batches that are new; the dimension and the
-    gold views are written as new versions. The number of files follows from the size of the inputs.
+    gold views are written as new versions. The number of files follows from the size and the number of rows of the inputs.
     `report`, if given, is filled with the rows dropped by each expectation and the fact
     batches written.
     """
@@ -148,7 +150,7 @@ def refresh_all(
     customers = _refresh(
         customer_dimension(bronze["cmstfl"], bronze["blncfl"], as_of, people),
         root, "silver", "clientes_saldos_consolidados", ["identificador_cliente"],
-        files_for(size, file_bytes),
+        ranges_for(bronze["cmstfl"].count(), sum(len(b.columns) for b in bronze.values()), size, file_bytes),
     )
     transactions, written = refresh_facts(spark, root, file_bytes)
     behaviour = _refresh(

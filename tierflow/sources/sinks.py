@@ -36,6 +36,18 @@ def files_for(total_bytes: int, target_bytes: int = 256 << 20) -> int:
     return max(1, math.ceil(total_bytes / target_bytes))
 
 
+#: Memory of the rows that one task of a clustered write sorts, about, and bytes a column takes there.
+SORT_BYTES, COLUMN_BYTES = 256 << 20, 16
+
+
+def ranges_for(rows: int, columns: int, total_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Ranges of a clustered write: by the size of its files, and by the memory that sorting takes.
+
+    Wide rows of many nulls are small as files and large when they are sorted.
+    """
+    return max(files_for(total_bytes, target_bytes), math.ceil(rows * columns * COLUMN_BYTES / SORT_BYTES))
+
+
 #: Ranges per clustered write, at most: more would be bounded by too few sampled rows each.
 #: `write_nested` cuts the files of larger ranges in the task.
 MAX_RANGES = 4096
