@@ -15,7 +15,7 @@ from tierflow.operators.keys import continue_key, dense_index
 from tierflow.operators.latest import latest_by_key, latest_by_key_agg, scd2_history
 from tierflow.operators.projection import conform, lead_with, select_except
 from tierflow.operators.quality import reconcile
-from tierflow.operators.sets import set_except
+from tierflow.operators.sets import set_difference, set_except
 from tierflow.operators.snapshot import evolve_snapshot, grow_snapshot, snapshot_drift
 from tierflow.session import scratch
 
@@ -292,3 +292,9 @@ def test_grow_snapshot_reads_its_input_a_few_times(spark):
     assert plan.count("FileScan") <= 6
     got = grown.collect()
     assert sorted(r.k for r in got) == list(range(1000, 1050))
+
+
+def test_set_difference_is_both_exceptions(spark):
+    left = spark.createDataFrame([(1, None), (1, None), (2, "b"), (3, "c")], "k int, v string")
+    right = spark.createDataFrame([("c", 3), (None, 1), ("x", 2), ("x", 2)], "v string, k int")
+    assert sorted(map(tuple, set_difference(left, right).collect())) == [(2, "b"), (2, "x")]

@@ -22,6 +22,16 @@ def set_except(left: DataFrame, right: DataFrame) -> DataFrame:
     return seen.filter(~F.col("_in_right")).drop("_in_right")
 
 
+def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows that occur on one side only, by one aggregate; nulls compare equal."""
+    names = left.columns
+    tagged = left.withColumn("_in_right", F.lit(False)).unionByName(
+        right.select(*names).withColumn("_in_right", F.lit(True))
+    )
+    sides = [F.bool_or("_in_right").alias("_any"), F.bool_and("_in_right").alias("_all")]
+    return tagged.groupBy(*names).agg(*sides).filter(F.col("_any") == F.col("_all")).drop("_any", "_all")
+
+
 def union_all_by_name(parts: Sequence[DataFrame], fill_missing: bool = False) -> DataFrame:
     first, *rest = parts
     for part in rest:

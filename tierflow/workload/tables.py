@@ -11,7 +11,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.operators.sets import set_except
+from tierflow.operators.sets import set_difference
 from tierflow.plans.mapping import transaction_rows
 from tierflow.plans.silver import enriched_transactions
 from tierflow.session import scratch
@@ -114,7 +114,7 @@ def incremental_equals_full(t: Tables):
         incremental_view(stream, enriched_transactions, f"{root}/silver", f"{root}/checkpoint")
     full = enriched_transactions(t.spark.read.parquet(f"{root}/bronze"))
     made = t.spark.read.parquet(f"{root}/silver")
-    missing = set_except(full, made).unionByName(set_except(made, full))
+    missing = set_difference(full, made)
     return (
         full.agg(F.count(F.lit(1)).alias("n_full"))
         .withColumn("n_incremental", made.agg(F.count(F.lit(1)).alias("n")).scalar())
